@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockpot.llm.canonical_list import map_lines
 from stockpot.llm.canonical_text import canonical_texts, lookalike_pairs
 from stockpot.llm.cooccurrence import cooccurrence
 from stockpot.llm.current import current_rows
+from stockpot.llm.mixing import mix, shares
 from stockpot.llm.near_duplicates import near_duplicates, shingle_sets, word_and_item_sets
+from stockpot.llm.packing import pack
 from stockpot.llm.terms import mark, term_frequency
-from stockpot.session import table
+from stockpot.llm.token_counts import with_token_counts
+from stockpot.session import cut, table
 
 KINDS = {"ingredient": "ingredient_names", "tag": "tag_slugs", "category": "category_slugs"}
 
@@ -37,6 +41,13 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_terms(spark, sf_dir).where("mark is not null").select("field_name", "term", "mark")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = table(spark, sf_dir, "ingredient_index")
+    own = index.select(F.col("id").alias("target"), "name")
+    alias = table(spark, sf_dir, "ingredient_alias").select(F.col("ingredient_id").alias("target"), F.col("alias_name").alias("name"))
+    return map_lines(table(spark, sf_dir, "ingredient_line"), own.unionByName(alias), index).select("line_id", "ingredient_id")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     recipes = word_and_item_sets(current_rows(table(spark, sf_dir, "recipe_summary"), "name", "ingredient_names"), "recipe_no", "name", "ingredient_names")
     texts = canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -45,6 +56,29 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recipe.select(F.lit("recipe").alias("record_kind"), "key_a", "key_b").unionByName(document.select(F.lit("document").alias("record_kind"), "key_a", "key_b"))
 
 
+def _sizes(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    return cut(with_token_counts(table(spark, sf_dir, "documents"), list(keys)), "sizes")
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_sizes(spark, sf_dir, "doc_id"), "doc_id", 2048)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many containers there are, and how full they are."""
+    filled = p8_containers(spark, sf_dir).groupBy("container").agg(F.sum("n_tokens").alias("fill"))
+    return filled.agg(F.count("*").alias("containers"), F.sum("fill").alias("tokens"), F.max("fill").alias("fullest"), (F.sum("fill") / (F.count("*") * 2048)).alias("filled"))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_sizes(spark, sf_dir, "doc_id", "source"), table(spark, sf_dir, "mix_target"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes, targets = _sizes(spark, sf_dir, "doc_id", "source"), table(spark, sf_dir, "mix_target")
+    return shares(mix(sizes, targets), sizes, targets)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(table(spark, sf_dir, "documents"))
 
@@ -53,7 +87,7 @@ def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p5_found": p5_found, "p10_found": p10_found, "p10_texts": p10_texts}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p4_found": p4_found, "p5_found": p5_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_texts": p10_texts}
 
 _BASKETS = """
 WITH cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1),
