@@ -12,6 +12,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockpot.functions.words import AMOUNT_PHRASES, DROPPED_WORDS, IRREGULAR, LEADING_WORDS, TAIL_VERBS
 
@@ -34,7 +35,7 @@ def clean_page(text: Column) -> Column:
     return F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "), F.lit(_EDGE))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(text: pd.Series) -> pd.Series:
     """HTML entities as the characters they stand for."""
     return text.map(html.unescape, na_action="ignore")
