@@ -135,49 +135,71 @@ def _is_heading(t: Column) -> Column:
     return t.startswith(">>") & F.trim(F.regexp_replace(t, "^>+", "")).endswith(":")
 
 
-def split_text(df: DataFrame, text: str, prefix: str = "", page: bool = False) -> DataFrame:
-    """df with quantity, unit, name and preparation (behind the prefix) read from a free text.
+def parsed_text(text: Column, page: bool = False) -> Column:
+    """quantity, unit, name and preparation of a free text, as a struct.
 
     What follows the first comma, else a spaced dash, is the preparation. page: as pages are
     read, without note references and without moving brackets. A null or empty text has an empty name.
     """
     units = PAGE_UNITS if page else UNITS
-    o = F.col("_o")
-    separator = F.when(o.contains(","), ",").when(o.contains(" - "), " - ").when(o.contains(" – "), " – ")
-    at = F.instr(o, F.col("_sep"))
-    out = df.withColumn("_o", clean_page(F.col(text))).withColumn("_sep", separator)
-    out = out.withColumn("_base", F.when(F.col("_sep").isNull(), o).otherwise(F.substr(o, F.lit(1), at - 1))).withColumn("_prep", F.when(F.col("_sep").isNotNull(), clean_page(F.substr(o, at + F.length("_sep")))))
-    out = out.withColumn("_base", without_outer_brackets(F.col("_base"))).withColumn("_m", measured(F.col("_base"), units))
-    out = out.withColumn("_name", F.coalesce(empty_to_null(clean_name(F.col("_m.rest"), units, not page)), empty_to_null(clean_name(o, units, not page)), o))
-    pair = F.struct(F.col("_name").alias("name"), F.col("_prep").alias("preparation")) if page else balanced(F.col("_name"), F.col("_prep"))
-    out = out.withColumn("_pair", pair)
-    named = {f"{prefix}quantity": F.when(o != "", F.col("_m.quantity")), f"{prefix}unit": F.when(o != "", F.col("_m.unit")), f"{prefix}name": F.when(o != "", F.col("_pair.name")).otherwise(""), f"{prefix}preparation": F.when(o != "", F.col("_pair.preparation"))}
-    return out.withColumns(named).drop("_o", "_sep", "_base", "_prep", "_m", "_name", "_pair")
 
+    def parted(o: Column) -> Column:
+        separator = F.when(o.contains(","), ",").when(o.contains(" - "), " - ").when(o.contains(" – "), " – ")
+        return let(F.coalesce(separator, F.lit("\x00")), lambda sep: let(F.instr(o, sep), lambda at: based(o, F.when(at > 0, F.substr(o, F.lit(1), at - 1)).otherwise(o), F.when(at > 0, clean_page(F.substr(o, at + F.length(sep)))))))
+
+    def based(o: Column, base: Column, prep: Column) -> Column:
+        return let(measured(without_outer_brackets(base), units), lambda m: let(prep, lambda p: named(o, m, p)))
+
+    def named(o: Column, m: Column, prep: Column) -> Column:
+        name = F.coalesce(empty_to_null(clean_name(m["rest"], units, not page)), empty_to_null(clean_name(o, units, not page)), o)
+        pair = F.struct(name.alias("name"), prep.alias("preparation")) if page else balanced(name, prep)
+        return let(pair, lambda n: F.struct(m["quantity"].alias("quantity"), m["unit"].alias("unit"), n["name"].alias("name"), n["preparation"].alias("preparation")))
+
+    return let(clean_page(text), parted)
+
+
+def split_text(df: DataFrame, text: str, prefix: str = "", page: bool = False) -> DataFrame:
+    """df with the parts of parsed_text as columns behind a prefix."""
+    parts = df.withColumn("_parts", parsed_text(F.col(text), page))
+    return parts.withColumns({f"{prefix}{c}": F.col(f"_parts.{c}") for c in ("quantity", "unit", "name", "preparation")}).drop("_parts")
 
-def normalize_lines(lines: DataFrame) -> DataFrame:
-    """Lines with quantity, unit, name, preparation, normalized_name and ingredient_id read anew.
 
-    The stored quantity, unit and name are joined and parsed again; what the text does not tell is kept
-    as stored. Entities are resolved first. Other columns stay.
+def normalized_line(x: Column) -> Column:
+    """A line's quantity, unit, name, preparation, normalized_name and ingredient_id read anew, as a struct.
+
+    The stored quantity, unit and name are joined and parsed again; what the text does not tell
+    is kept as stored.
     """
-    cleaned = lines.withColumns({c: unescape(F.col(c)) for c in ("name", "quantity", "unit", "preparation", "normalized_name")})
-    part = lambda c: empty_to_null(clean_page(F.col(c)))
-    out = cleaned.withColumn("_raw", F.concat_ws(" ", part("quantity"), part("unit"), part("name")))
-    out = split_text(out, "_raw", "_new_")
-    stored = clean_page(F.col("name"))
-    out = out.withColumn("_name", F.coalesce(empty_to_null(F.col("_new_name")), empty_to_null(clean_name(F.col("name"))), F.col("name")))
-    fallback = empty_to_null(clean_name(F.col("normalized_name")))
-    out = out.withColumn("_name", F.when(stored.startswith("(") & stored.endswith(")"), F.coalesce(fallback, F.col("_name"))).otherwise(F.col("_name")))
-    out = out.withColumn("_name", F.coalesce(without_excess_closers(F.col("_name")), F.col("_name")))
-    out = out.withColumn("_name", F.coalesce(without_reference_digits(F.col("_name")), F.col("_name")))
-    prep = F.coalesce(F.col("_new_preparation"), part("preparation"))
-    out = out.withColumn("_prep", empty_to_null(without_notes(prep)))
-    out = out.withColumn("_prep", without_reference_digits(without_excess_closers(F.col("_prep"))))
-    out = out.withColumn("_pair", balanced(F.col("_name"), F.col("_prep")))
-    out = out.withColumns({"name": F.col("_pair.name"), "preparation": F.col("_pair.preparation"), "quantity": F.coalesce("_new_quantity", "quantity"), "unit": F.coalesce("_new_unit", "unit")})
-    out = out.withColumn("normalized_name", F.coalesce(empty_to_null(normalize_name(F.col("name"))), normalize_name(F.col("_raw"))))
-    return out.withColumn("ingredient_id", entity_id("ingredient", F.col("normalized_name"))).drop("_raw", "_name", "_prep", "_pair", "_new_quantity", "_new_unit", "_new_name", "_new_preparation")
+    part = lambda c: empty_to_null(clean_page(x[c]))
+
+    def read(raw: Column) -> Column:
+        return let(parsed_text(raw), lambda new: let(own_name(new), lambda name: let(own_preparation(new), lambda prep: let(balanced(name, prep), lambda pair: named(raw, new, pair)))))
+
+    def own_name(new: Column) -> Column:
+        first = F.coalesce(empty_to_null(new["name"]), empty_to_null(clean_name(x["name"])), x["name"])
+        enclosed = let(clean_page(x["name"]), lambda n: n.startswith("(") & n.endswith(")"))
+        chosen = F.coalesce(F.when(enclosed, empty_to_null(clean_name(x["normalized_name"]))), first)
+        open_ = let(chosen, lambda n: F.coalesce(without_excess_closers(n), n))
+        return let(open_, lambda n: F.coalesce(without_reference_digits(n), n))
+
+    def own_preparation(new: Column) -> Column:
+        return without_reference_digits(without_excess_closers(empty_to_null(without_notes(F.coalesce(new["preparation"], part("preparation"))))))
+
+    def named(raw: Column, new: Column, pair: Column) -> Column:
+        key = F.coalesce(empty_to_null(normalize_name(pair["name"])), normalize_name(raw))
+        return let(key, lambda k: F.struct(entity_id("ingredient", k).alias("ingredient_id"), pair["name"].alias("name"), k.alias("normalized_name"), F.coalesce(new["quantity"], x["quantity"]).alias("quantity"), F.coalesce(new["unit"], x["unit"]).alias("unit"), pair["preparation"].alias("preparation")))
+
+    return let(F.concat_ws(" ", part("quantity"), part("unit"), part("name")), read)
+
+
+FIELDS = ("ingredient_id", "name", "normalized_name", "quantity", "unit", "preparation")
+
+
+def normalize_lines(lines: DataFrame) -> DataFrame:
+    """Lines with the fields of normalized_line, HTML entities resolved first. Other columns stay."""
+    cleaned = lines.withColumns({c: unescape(F.col(c)) for c in FIELDS[1:]})
+    out = cleaned.withColumn("_line", let(F.struct(*FIELDS), normalized_line))
+    return out.withColumns({c: F.col(f"_line.{c}") for c in FIELDS}).drop("_line")
 
 
 def bracket_parts(text: Column) -> Column:
@@ -206,44 +228,49 @@ def _kind_of(n: Column) -> Column:
     )
 
 
-def canonicalize_lines(lines: DataFrame) -> DataFrame:
-    """Normalised lines with kept (the canonical ingredients, 0 to 2) and review (null if there is nothing to say).
+def canonical_line(x: Column) -> Column:
+    """kept (the canonical ingredients, 0 to 2) and review (null if there is nothing to say) of a normalised line.
 
     A heading is dropped in silence, what is no ingredient goes to review as excluded, a known
     compound is split, an ambiguous name goes to review and out of the recipe, all else is kept.
     """
-    out = lines.withColumn("_o", clean_page(F.concat_ws(" ", *(empty_to_null(F.col(c)) for c in ("quantity", "unit", "name")))))
-    out = out.withColumn("_b", bracket_parts(F.col("name")))
-    out = out.withColumn("_kinds", F.transform("_b.parts", lambda p: F.struct(p.alias("part"), bracket_kind(p).alias("kind"))))
-    out = out.withColumn("_core", core_name(F.col("_b.base")))
-    told = F.transform(F.filter("_kinds", lambda k: k["kind"] == "preparation"), lambda k: k["part"])
-    tail = empty_to_null(F.regexp_extract(F.col("_b.base"), TAIL.replace("(?i)", "(?i)(", 1) + ")", 1))
-    out = out.withColumn("_prep", preparation_text(F.array_join(F.array_compact(F.concat(F.array(empty_to_null(F.col("preparation"))), told, F.array(tail))), " ")))
-    issue = F.transform("_kinds", lambda k: F.when(k["kind"] == "optional", "optional").when(k["kind"] == "ambiguous", "ambiguous_parenthetical").when(k["kind"] == "alias", "alias_parenthetical"))
-    out = out.withColumn("_issues", F.array_compact(issue))
-    excluded = lambda c: (clean_page(c) == "") | F.lower(clean_page(c)).rlike("|".join(EXCLUDED))
-    compound = F.create_map(*(x for name, parts in COMPOUNDS.items() for x in (F.lit(name), F.array(*map(F.lit, parts)))))
-    out = out.withColumn("_parts", compound[F.col("_core")])
-    out = out.withColumn(
-        "_way",
-        F.when(is_heading(F.col("name")), "heading")
-        .when(excluded(F.col("_b.base")) | excluded(F.col("_core")), "excluded")
-        .when(F.col("_parts").isNotNull(), "split")
-        .when(F.col("_core").rlike(CONNECTOR), "review")
-        .otherwise("canonicalized"),
-    )
-    one = lambda name, quantity, unit: F.struct(entity_id("ingredient", normalize_name(name)).alias("ingredient_id"), name.alias("name"), normalize_name(name).alias("normalized_name"), quantity.alias("quantity"), unit.alias("unit"), F.col("_prep").alias("preparation"))
-    nothing = F.lit(None).cast("string")
-    kept = F.when(F.col("_way") == "canonicalized", F.array(one(F.col("_core"), F.col("quantity"), F.col("unit")))).when(F.col("_way") == "split", F.transform("_parts", lambda p: one(p, nothing, nothing)))
-    reason = F.when(F.col("_way") == "excluded", "excluded_non_ingredient").when(F.col("_way") == "split", "compound_split").when(F.col("_way") == "review", "ambiguous_connector")
-    review = F.struct(
-        F.col("_o").alias("original_text"), F.col("quantity"), F.col("unit"), empty_to_null(F.col("_core")).alias("cleaned_name"),
-        F.coalesce("_parts", F.array().cast("array<string>")).alias("replacements"),
-        F.array_sort(F.array_distinct(F.array_compact(F.concat("_issues", F.array(reason))))).alias("issue_types"), F.col("_way").alias("resolution"),
-    )
-    speaks = (F.col("_way") != "heading") & ((F.col("_way") != "canonicalized") | (F.size("_issues") > 0))
-    out = out.withColumns({"kept": F.coalesce(kept, F.array().cast(kept_type())), "review": F.when(speaks, review)})
-    return out.drop("_o", "_b", "_kinds", "_core", "_prep", "_issues", "_parts", "_way")
+    compound = F.create_map(*(c for name, parts in COMPOUNDS.items() for c in (F.lit(name), F.array(*map(F.lit, parts)))))
+    excluded = lambda c: let(F.lower(clean_page(c)), lambda t: (t == "") | t.rlike("|".join(EXCLUDED)))
+
+    def based(b: Column) -> Column:
+        kinds = F.transform(b["parts"], lambda p: F.struct(p.alias("part"), bracket_kind(p).alias("kind")))
+        return let(kinds, lambda k: let(core_name(b["base"]), lambda core: let(prepared(b["base"], k), lambda prep: let(compound[core], lambda parts: let(way(b["base"], core, parts), lambda w: routed(k, core, prep, parts, w))))))
+
+    def prepared(base: Column, kinds: Column) -> Column:
+        told = F.transform(F.filter(kinds, lambda k: k["kind"] == "preparation"), lambda k: k["part"])
+        tail = empty_to_null(F.regexp_extract(base, TAIL.replace("(?i)", "(?i)(", 1) + ")", 1))
+        return preparation_text(F.array_join(F.array_compact(F.concat(F.array(empty_to_null(x["preparation"])), told, F.array(tail))), " "))
+
+    def way(base: Column, core: Column, parts: Column) -> Column:
+        return F.when(is_heading(x["name"]), "heading").when(excluded(base) | excluded(core), "excluded").when(parts.isNotNull(), "split").when(core.rlike(CONNECTOR), "review").otherwise("canonicalized")
+
+    def one(name: Column, quantity: Column, unit: Column, prep: Column) -> Column:
+        return let(normalize_name(name), lambda n: F.struct(entity_id("ingredient", n).alias("ingredient_id"), name.alias("name"), n.alias("normalized_name"), quantity.alias("quantity"), unit.alias("unit"), prep.alias("preparation")))
+
+    def routed(kinds: Column, core: Column, prep: Column, parts: Column, w: Column) -> Column:
+        nothing = F.lit(None).cast("string")
+        kept = F.when(w == "canonicalized", F.array(one(core, x["quantity"], x["unit"], prep))).when(w == "split", F.transform(parts, lambda p: one(p, nothing, nothing, prep)))
+        issues = F.array_compact(F.transform(kinds, lambda k: F.when(k["kind"] == "optional", "optional").when(k["kind"] == "ambiguous", "ambiguous_parenthetical").when(k["kind"] == "alias", "alias_parenthetical")))
+        reason = F.when(w == "excluded", "excluded_non_ingredient").when(w == "split", "compound_split").when(w == "review", "ambiguous_connector")
+        every = F.array_sort(F.array_distinct(F.array_compact(F.concat(issues, F.array(reason)))))
+        text = clean_page(F.concat_ws(" ", *(empty_to_null(x[c]) for c in ("quantity", "unit", "name"))))
+        review = let(every, lambda types: F.when(
+            (w != "heading") & ((w != "canonicalized") | (F.size(types) > 0)),
+            F.struct(text.alias("original_text"), x["quantity"].alias("quantity"), x["unit"].alias("unit"), empty_to_null(core).alias("cleaned_name"), F.coalesce(parts, F.array().cast("array<string>")).alias("replacements"), types.alias("issue_types"), w.alias("resolution")),
+        ))
+        return F.struct(F.coalesce(kept, F.array().cast(kept_type())).alias("kept"), review.alias("review"))
+
+    return let(bracket_parts(x["name"]), based)
+
+
+def canonicalize_lines(lines: DataFrame) -> DataFrame:
+    """Normalised lines with the columns kept and review of canonical_line."""
+    return lines.withColumn("_c", let(F.struct(*FIELDS), canonical_line)).withColumns({"kept": F.col("_c.kept"), "review": F.col("_c.review")}).drop("_c")
 
 
 def kept_type() -> str:
