@@ -89,41 +89,101 @@ def shingle_sets(df: DataFrame, key: str = "doc_id", text: str = "text", size: i
 def _sign(coordinates: int, count: int, rows: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
+            # copies within a batch are signed once, so a class met very often stays small
+            _, first = np.unique(whole.column(0).to_numpy(), return_index=True)
+            whole = whole.take(pa.array(np.sort(first)))
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
                 members = batch.column(1)
-                lengths = np.diff(members.offsets.to_numpy())
-                flat = members.flatten().to_numpy().view(np.uint64)
-                keys = bands(signatures(flat, lengths, coordinates), count, rows)
+                offsets = members.offsets.to_numpy()
+                flat = members.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint64)
+                keys = bands(signatures(flat, np.diff(offsets), coordinates), count, rows)
                 owner = np.repeat(batch.column(0).to_numpy(), count)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(owner)], ["band", "class"])
 
     return sign
 
 
-def similar_classes(sets: DataFrame, threshold: float, coordinates: int, count: int, rows: int) -> tuple[DataFrame, DataFrame]:
+def _pairs_of_runs(most: int):
+    schema = pa.schema([("class_a", pa.int64()), ("class_b", pa.int64()), ("band", pa.int64())])
+
+    def expand(owner: np.ndarray, left: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The pairs of each entry with the entries that follow it in its run."""
+        steps = np.concatenate(([0], np.cumsum(left)))
+        at = 0
+        while at < len(owner):
+            to = max(at + 1, int(np.searchsorted(steps, steps[at] + 1_000_000, side="right")) - 1)
+            size = left[at:to]
+            first = np.repeat(np.arange(at, to), size)
+            second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(size) - size, size)
+            pairs = np.unique(np.stack([owner[first], owner[second]], axis=1), axis=0) if len(first) else np.empty((0, 2), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.int64())], schema=schema)
+            at = to
+
+    def of(band: np.ndarray, owner: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """band and owner sorted by both, the runs being whole."""
+        fresh = np.concatenate(([True], (band[1:] != band[:-1]) | (owner[1:] != owner[:-1])))
+        band, owner = band[fresh], owner[fresh]
+        starts = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
+        sizes = np.diff(np.concatenate((starts, [len(band)])))
+        size = np.repeat(sizes, sizes)
+        left = size - 1 - (np.arange(len(band)) - np.repeat(starts, sizes))
+        usual = (size > 1) & (size <= most)
+        yield from expand(owner[usual], left[usual])
+        hot = size > most
+        if hot.any():
+            yield pa.RecordBatch.from_arrays([pa.array(owner[hot]), pa.nulls(int(hot.sum()), pa.int64()), pa.array(band[hot])], schema=schema)
+
+    def pairs_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        band = owner = np.empty(0, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            band, owner = np.concatenate((band, batch.column(0).to_numpy())), np.concatenate((owner, batch.column(1).to_numpy()))
+            # the last run may go on in the next batch
+            last = int(np.searchsorted(band, band[-1]))
+            if last:
+                yield from of(band[:last], owner[:last])
+                band, owner = band[last:], owner[last:]
+        if len(band):
+            yield from of(band, owner)
+
+    return pairs_of_runs
+
+
+def candidate_pairs(sets: DataFrame, coordinates: int, count: int, rows: int, most: int = 2_000) -> DataFrame:
+    """class_a < class_b: the distinct pairs of classes that share a band, after one shuffle of the bands.
+
+    Bands that more than most classes share are not paired by the task that meets them but by
+    a join, whose hot keys Spark splits.
+    """
+    keys = sets.select("class", "members").mapInArrow(_sign(coordinates, count, rows), "band long, class long")
+    sorted_keys = keys.repartition("band").sortWithinPartitions("band", "class")
+    met = cut(sorted_keys.mapInArrow(_pairs_of_runs(most), "class_a long, class_b long, band long"), "met")
+    usual, hot = met.where("class_b is not null").select("class_a", "class_b"), met.where("class_b is null")
+    other = hot.select("band", F.col("class_a").alias("class_b"))
+    return usual.union(hot.select("band", "class_a").join(other, "band").where("class_a < class_b").select("class_a", "class_b")).distinct()
+
+
+def similar_classes(sets: DataFrame, threshold: float, coordinates: int, count: int, rows: int, broadcast_rows: int = 250_000) -> tuple[DataFrame, DataFrame]:
     """Pairs of classes (class_a < class_b, similarity) with Jaccard at or above threshold, and the membership (id, class).
 
     coordinates: of a signature; count bands of rows coordinates find the candidates. A pair of
-    similarity s is missed with a chance near (1 - s^rows)^count.
+    similarity s is missed with a chance near (1 - s^rows)^count. The sets are computed twice
+    rather than stored, being larger than the texts; those without a candidate never leave
+    their task. The list of classes with a candidate is broadcast up to broadcast_rows, and
+    beyond that joined by a shuffle.
     """
-    sets = cut(sets, "sets")
-    members = sets.select("id", "class")
-    # of a class that is met often, one set stays
-    one = sets.groupBy("class").agg(F.first("members").alias("members"))
-    keys = one.select("class", "members").mapInArrow(_sign(coordinates, count, rows), "band long, class long")
-    keys = cut(keys, "bands")
-    # most keys are met once: they are gone before the join
-    shared = keys.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-    shared = shared.where("lo <> hi").select("band")
-    met = keys.join(shared, "band", "left_semi")
-    a, b = met.select("band", F.col("class").alias("class_a")), met.select("band", F.col("class").alias("class_b"))
-    candidates = a.join(b, "band").where("class_a < class_b").select("class_a", "class_b").distinct()
+    candidates = cut(candidate_pairs(sets, coordinates, count, rows), "candidates")
+    involved = candidates.select(F.col("class_a").alias("class")).union(candidates.select("class_b")).distinct().withColumn("involved", F.lit(True))
+    if involved.count() <= broadcast_rows:
+        involved = F.broadcast(involved)
+    kept = cut(sets.join(involved, "class", "left").select("id", "class", F.when(F.col("involved"), F.col("members")).alias("members")), "sets")
+    one = kept.where("members is not null").groupBy("class").agg(F.first("members").alias("members"))
     of = lambda side: one.select(F.col("class").alias(f"class_{side}"), F.col("members").alias(f"members_{side}"))
     checked = candidates.join(of("a"), "class_a").join(of("b"), "class_b")
-    common = F.size(F.array_intersect("members_a", "members_b"))
-    checked = checked.withColumn("_n", common).select("class_a", "class_b", (F.col("_n") / (F.size("members_a") + F.size("members_b") - F.col("_n"))).alias("similarity"))
-    return checked.where(F.col("similarity") >= threshold), members
+    checked = checked.withColumn("_n", F.size(F.array_intersect("members_a", "members_b"))).select("class_a", "class_b", (F.col("_n") / (F.size("members_a") + F.size("members_b") - F.col("_n"))).alias("similarity"))
+    return checked.where(F.col("similarity") >= threshold), kept.select("id", "class")
 
 
 def spread(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -136,7 +196,7 @@ def spread(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return within.unionByName(across).select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
 
 
-def near_duplicates(sets: DataFrame, threshold: float = 0.8, coordinates: int = 128, count: int = 28, rows: int = 7) -> DataFrame:
+def near_duplicates(sets: DataFrame, threshold: float = 0.8, coordinates: int = 128, count: int = 18, rows: int = 6) -> DataFrame:
     """key_a < key_b: all pairs of records whose sets have intersection / union at or above threshold.
 
     sets: id, class and members as made above, one row per record; a record that is repeated

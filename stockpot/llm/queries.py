@@ -51,8 +51,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     recipes = word_and_item_sets(current_rows(table(spark, sf_dir, "recipe_summary"), "name", "ingredient_names"), "recipe_no", "name", "ingredient_names")
     texts = canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
-    recipe = near_duplicates(recipes, 0.8, coordinates=128, count=28, rows=7)
-    document = near_duplicates(shingle_sets(texts, size=3), 0.6, coordinates=128, count=40, rows=4)
+    recipe = near_duplicates(cut(recipes, "recipes"), 0.8, coordinates=128, count=18, rows=6)
+    document = near_duplicates(shingle_sets(texts, size=3), 0.6, coordinates=128, count=32, rows=4)
     return recipe.select(F.lit("recipe").alias("record_kind"), "key_a", "key_b").unionByName(document.select(F.lit("document").alias("record_kind"), "key_a", "key_b"))
 
 
