@@ -46,12 +46,16 @@ def _shortened(text: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
 
 
+#: Words of more letters are no words that someone mistyped; they are matched as they stand.
+LONGEST = 48
+
+
 def _with_keys(df: DataFrame, token: str) -> DataFrame:
     """df with a hash for the token and each text that its allowed deletions leave."""
     t = F.col(token)
     none = F.array().cast("array<string>")
-    one = F.when(F.length(t) > 1, _shortened(t)).otherwise(none)
-    two = F.when(F.length(t) > 3, F.flatten(F.transform(one, _shortened))).otherwise(none)
+    one = F.when(F.length(t).between(2, LONGEST), _shortened(t)).otherwise(none)
+    two = F.when(F.length(t).between(4, LONGEST), F.flatten(F.transform(one, _shortened))).otherwise(none)
     return df.withColumn("_key", F.explode(F.transform(F.array_distinct(F.concat(F.array(t), one, two)), lambda x: F.xxhash64(x))))
 
 

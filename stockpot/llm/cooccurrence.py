@@ -52,7 +52,8 @@ def gram(codes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray
     first = np.concatenate(([0], np.cumsum(lengths)))
     sparse = np.flatnonzero(~inside)
     sizes = lengths[row[sparse]]
-    bounds = np.searchsorted(np.cumsum(sizes), np.arange(0, int(sizes.sum()) + ENTRIES, ENTRIES), side="left") if len(sparse) else [0]
+    ends = np.cumsum(sizes)
+    bounds = [0, *np.searchsorted(ends, np.arange(ENTRIES, ends[-1] if len(ends) else 0, ENTRIES)), len(sparse)]
     for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
         if lo == hi:
             continue
