@@ -22,9 +22,18 @@ CONNECTOR = r"\b(?:or|and/or)\b"
 
 def ingredient_text(text: Column) -> Column:
     """One way of writing amounts: ASCII fractions, spaced dashes, digits apart from letters."""
-    t = F.replace(clean_page(text), F.lit("⁄"), F.lit("/"))
-    for glyph, plain in FRACTIONS.items():
-        t = F.replace(F.regexp_replace(t, rf"(\d){glyph}", f"$1 {plain}"), F.lit(glyph), F.lit(plain))
+    # most names have neither a number nor a dash: one look spares them all steps
+    some = f"[0-9⁄–—~≈{''.join(FRACTIONS)}]"
+    return let(clean_page(text), lambda t: F.when(t.rlike(some), _with_plain_amounts(t)).otherwise(t))
+
+
+def _with_plain_amounts(text: Column) -> Column:
+    def plain(t: Column) -> Column:
+        for glyph, to in FRACTIONS.items():
+            t = F.replace(F.regexp_replace(t, rf"(\d){glyph}", f"$1 {to}"), F.lit(glyph), F.lit(to))
+        return t
+
+    t = let(F.replace(text, F.lit("⁄"), F.lit("/")), lambda v: F.when(v.rlike(f"[{''.join(FRACTIONS)}]"), plain(v)).otherwise(v))
     for pattern, to in (
         (r"(?<=^|\s)/(?=\d)", "1/"),
         (r"(?<=\d)\s*/\s+(?=\d+/\d+\b)", " "),
