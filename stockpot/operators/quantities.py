@@ -44,8 +44,9 @@ SPELLINGS = {
 CASED = {"T": "tbsp", "t": "tsp", "T.": "tbsp", "t.": "tsp"}
 # Words for packages.
 PACKAGES = "can cans tin tins jar jars box boxes pack packs packet packets package packages pkg pkgs pouch pouches sachet sachets bottle bottles bag bags carton cartons tub tubs container containers envelope envelopes stick sticks block blocks tube tubes".split()
-# Numbers written as words.
-NUMBER_WORDS = {"a": 1, "an": 1, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10, "eleven": 11, "twelve": 12, "half": 0.5}
+# Numbers and parts written as words.
+NUMBER_WORDS = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10, "eleven": 11, "twelve": 12}
+PART_WORDS = {"half": 2, "halves": 2, "third": 3, "thirds": 3, "quarter": 4, "quarters": 4, "fourth": 4, "fourths": 4, "eighth": 8, "eighths": 8}
 # Fraction characters.
 FRACTIONS = {"½": "1/2", "⅓": "1/3", "⅔": "2/3", "¼": "1/4", "¾": "3/4", "⅕": "1/5", "⅖": "2/5", "⅗": "3/5", "⅘": "4/5", "⅙": "1/6", "⅚": "5/6", "⅛": "1/8", "⅜": "3/8", "⅝": "5/8", "⅞": "7/8"}
 
@@ -56,7 +57,15 @@ _UNIT = r"(?P<unit>fl(?:uid)?\.?\s*(?:oz|ounce)s?\.?|[^\W\d_]+\.?)"
 _AMOUNT = re.compile(rf"(?<![\w/.,]){_RANGE}\s*-?\s*{_UNIT}(?![\w%])", re.I)
 _COUNT = re.compile(rf"(?<![\w/.,]){_RANGE}(?![\w/%]|[.,]\d)", re.I)
 _PACK = re.compile(rf"\b(?:{'|'.join(PACKAGES)})\b", re.I)
-_WORD_NUMBER = re.compile(rf"^\s*({'|'.join(NUMBER_WORDS)})\b(?!\s*(?:little|few|bit|pinch|dash))", re.I)
+_ANY_NUMBER = "|".join(NUMBER_WORDS)
+_ANY_PART = "|".join(PART_WORDS)
+#: "one and a half", "three quarters", "half a", "six", and a leading "a", in this order.
+_WORD_AMOUNT = re.compile(
+    rf"\b(?P<whole>{_ANY_NUMBER}|\d+) and (?:an?|one) (?P<rest>{_ANY_PART})\b|(?:\b(?P<times>an?|{_ANY_NUMBER})[ -])?\b(?P<part>{_ANY_PART})\b(?: of)?(?: an?\b(?! *(?:little|few|bit)\b))?|\b(?P<number>{_ANY_NUMBER})\b|(?:^|(?<=\d to )|(?<=\d - )|(?<=\d-))(?P<a>an?)(?: (?!little|few|bit|pinch|dash)|$)",
+    re.I,
+)
+_NEXT = re.compile(r"[\s-]*?(-|[^\W\d_]+\.?)")
+_AND_PART = re.compile(r"(?<=\d) and (?=\d+/\d)")
 _GLYPH = re.compile("[" + "".join(FRACTIONS) + "]")
 _DIGIT = re.compile(r"\d|[" + "".join(FRACTIONS) + "]")
 
@@ -133,12 +142,29 @@ def _read_field(quantity: str | None, unit: str | None) -> tuple:
 
 def _read_text(text: str) -> tuple:
     """The amount within a text, and whether the text itself tells of packages."""
-    text = _words_to_number(_plain(text))
+    text = _words_to_number(_plain(text), of_name=True)
     return (_read(text, KNOWN), bool(_PACK.search(text))) if _DIGIT.search(text) else (None, False)
 
 
-def _words_to_number(text: str) -> str:
-    return f"{NUMBER_WORDS[w[1].lower()]:g}{text[w.end() :]}" if (w := _WORD_NUMBER.match(text)) else text
+def _words_to_number(text: str, of_name: bool = False) -> str:
+    """A text with its number words as digits, parts as fractions.
+
+    In a name only those count that a unit or package follows, or a range for whole
+    numbers: "half and half - 250 ml" has no half in its amount.
+    """
+
+    def digits(m: re.Match) -> str:
+        if of_name:
+            after = _NEXT.match(text, m.end())
+            if not after or not (fold(after[1]) in KNOWN or after[1] in CASED or _PACK.fullmatch(after[1]) or not m["part"] and after[1] in ("to", "-")):
+                return m[0]
+        if m["whole"]:
+            return f"{NUMBER_WORDS.get(m['whole'].lower(), m['whole'])} 1/{PART_WORDS[m['rest'].lower()]}"
+        if m["part"]:
+            return f"{NUMBER_WORDS.get((m['times'] or 'a').lower(), 1)}/{PART_WORDS[m['part'].lower()]}"
+        return f"{NUMBER_WORDS[m['number'].lower()]}" if m["number"] else "1 "
+
+    return _plain(_AND_PART.sub(" ", _WORD_AMOUNT.sub(digits, text)))
 
 
 def _combine(field: tuple, text: tuple) -> list[tuple[float, float, str]]:
@@ -192,7 +218,7 @@ def statements(lines: DataFrame) -> DataFrame:
     Lines without any digit and without a number word are dropped by the scan.
     """
     digit = r"[0-9½⅓⅔¼¾⅕⅖⅗⅘⅙⅚⅛⅜⅝⅞]"
-    words = "(?i)^\\s*(" + "|".join(NUMBER_WORDS) + ")\\b"
+    words = rf"(?i)\b(?:{_ANY_NUMBER}|{_ANY_PART})\b|^\s*an?\s"
     some = F.col("quantity").rlike(f"{digit}|{words}") | F.col("unit").rlike(f"{digit}|{words}") | F.col("name").rlike(f"{digit}|{words}") | F.col("preparation").rlike(digit)
     # a cm or an inch is the only unit that preparations of most lines have; null keeps them out of Python's memo
     prep = F.when(F.col("preparation").rlike(digit + r"\s*-?\s*(?i:[mk]?g|oz|lbs?|c?d?m?l|cups?|tbsps?|tsps?)\b"), F.col("preparation"))
