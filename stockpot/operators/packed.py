@@ -8,6 +8,7 @@ in order. All of it runs as SQL expressions inside the JVM.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,11 +22,12 @@ JOINING = "and"
 _MARK = "[" + re.escape(MARKS).replace("\\\n", "\\n").replace("\\\r", "\\r").replace("\\\t", "\\t") + "]"
 _DELIMITER = rf"(?:\s*{_MARK}\s*(?:{JOINING}\s+)?|\s+{JOINING}\s+)"
 _BRACKETS = r"\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\)|\[[^\[\]]*\]|\{[^{}]*\}"
-_NUMBERS = r"\d+(?:[.,/]\d+)+"
+_COUNT = "(?:one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|a|an|[0-9]+)"
+_NUMBERS = rf"\d+(?:[.,/]\d+)+|(?<!\w){_COUNT}\s+and\s+(?:(?:an?|one)\s+)?(?:half|third|quarter|\d+/\d+)(?!\w)"
 _OPEN = rf"(?:^|(?<={_MARK})|(?<=\s))"
 _CLOSE = rf"(?=\s*(?:$|{_MARK}|{JOINING}\s))"
 #: "2 packs of 8-oz each" after the name of a thing tells an amount of it and is no value.
-_AMOUNT_VALUE = r"(?i)^\d+\s+\w+\s+of\s+\d[\d.,/]*\s*-?\s*\w+\.?\s+each\.?$"
+_AMOUNT_VALUE = r"(?i)^\d+\s+\w+\s+of\s+\d[\d.,/]*\s*-?\s*\w+\.?\s+each\.?(?:\s*\(.*\))?$"
 
 
 def joined_names(names: DataFrame, column: str = "name") -> list[str]:
@@ -47,7 +49,7 @@ def split_packed(text: Column, names: list[str] | None = None) -> Column:
     A value may be quoted by " or ', a doubled quote within it being one quote. Delimiters
     within quotes, brackets, numbers or one of names part nothing. Empty values are dropped.
     """
-    kept = "|".join([_BRACKETS, *(rf"(?<!\w){_java_literal(n)}(?!\w)" for n in names or []), _NUMBERS])
+    kept = "|".join([_BRACKETS, *(rf"(?<!\w){p}(?:e?s)?(?!\w)" for p in dict.fromkeys(p for n in names or [] for p in _patterns(n))), _NUMBERS])
     marked = text
     for q in "\"'":
         body = rf"{_OPEN}{q}((?:[^{q}{QUOTE}]|{q}{q})*){q}{_CLOSE}"
@@ -69,8 +71,18 @@ def split_packed(text: Column, names: list[str] | None = None) -> Column:
     return F.filter(values, lambda v: v != "")
 
 
-def _java_literal(text: str) -> str:
-    return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"
+#: Letters of the first Latin block by the plain letter they carry an accent on.
+_ACCENTED: dict[str, str] = {}
+for _c in map(chr, range(0xE0, 0x100)):
+    if len(_d := unicodedata.normalize("NFD", _c)) > 1:
+        _ACCENTED[_d[0]] = _ACCENTED.get(_d[0], "") + _c
+
+
+def _patterns(name: str) -> list[str]:
+    """Patterns of a reference name as it may be typed, and of the two words that its joining word stands between."""
+    letter = lambda c: r"[\s_]+" if c.isspace() else f"[{c}{_ACCENTED[c]}]" if c in _ACCENTED else c if c.isalnum() else "\\" + c if c.isascii() else c
+    core = re.search(rf"\S+\s+{JOINING}\s+\S+", name)
+    return ["".join(map(letter, n)) for n in ([name, core[0]] if core else [name])]
 
 
 def explode_packed(df: DataFrame, keys: list[str], fields: list[str], names: list[str] | None = None) -> DataFrame:

@@ -65,6 +65,7 @@ _WORD_AMOUNT = re.compile(
     re.I,
 )
 _NEXT = re.compile(r"[\s-]*?(-|[^\W\d_]+\.?)")
+_SIZE = re.compile(r"\s*(?:x\s*)?[(\d]")
 _AND_PART = re.compile(r"(?<=\d) and (?=\d+/\d)")
 _GLYPH = re.compile("[" + "".join(FRACTIONS) + "]")
 _DIGIT = re.compile(r"\d|[" + "".join(FRACTIONS) + "]")
@@ -155,8 +156,8 @@ def _words_to_number(text: str, of_name: bool = False) -> str:
 
     def digits(m: re.Match) -> str:
         if of_name:
-            after = _NEXT.match(text, m.end())
-            if not after or not (fold(after[1]) in KNOWN or after[1] in CASED or _PACK.fullmatch(after[1]) or not m["part"] and after[1] in ("to", "-")):
+            after, counts = _NEXT.match(text, m.end()), m["number"] and m.start() == 0 and _SIZE.match(text, m.end())
+            if not counts and (not after or not (fold(after[1]) in KNOWN or after[1] in CASED or _PACK.fullmatch(after[1]) or not m["part"] and after[1] in ("to", "-"))):
                 return m[0]
         if m["whole"]:
             return f"{NUMBER_WORDS.get(m['whole'].lower(), m['whole'])} 1/{PART_WORDS[m['rest'].lower()]}"

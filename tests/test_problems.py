@@ -65,6 +65,7 @@ def test_split_packed(spark):
         'x; "half grated / half whole"': ["x", "half grated / half whole"], '"trimmed to 3"" lengths", b': ['trimmed to 3" lengths', "b"], "'soy sauce';y": ["soy sauce", "y"],
         "cut (a, b) and c": ["cut (a, b)", "c"], "cut 1/2 inch, 1,5 cm": ["cut 1/2 inch", "1,5 cm"], "Macaroni And Cheese Mix and 50/50 flour blend": ["Macaroni And Cheese Mix", "50/50 flour blend"],
         "x": ["x"], "": [], "brandy": ["brandy"], "cook's salt, b": ["cook's salt", "b"], "a (b (c, d), e), f": ["a (b (c, d), e)", "f"], "sand and": ["sand and"],
+        "one and a half cups salt, egg": ["one and a half cups salt", "egg"], "Mix macaróni  and cheese; x": ["Mix macaróni  and cheese", "x"], "macaroni and cheese mixes": ["macaroni and cheese mixes"],
     }
     assert _split(spark, *cases) == list(cases.values())
 
