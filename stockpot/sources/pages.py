@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import Any
+from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -289,6 +290,53 @@ def looks_like_recipe(classes: Column) -> Column:
     return F.exists(classes, lambda c: c.rlike("^category-(?:recipes$|.*-recipes$)"))
 
 
+def read_links(url: str, page: str | None) -> tuple[list[dict[str, Any]], list[str]]:
+    """The first link of each article below main, with the article's classes, and the links to other index pages."""
+    nodes = list(Tree(page or "").root.walk())
+    href = lambda n: urljoin(url, n.attrs["href"])
+    is_link = lambda n: n.tag == "a" and "href" in n.attrs
+    below = lambda test: [d for n in nodes if test(n) for d in n.walk()]
+    articles = []
+    for article in (n for n in below(lambda n: n.tag == "main") if n.tag == "article"):
+        if link := next((n for n in article.walk() if is_link(n)), None):
+            articles.append({"href": href(link), "classes": article.classes()})
+    paged = [n for n in nodes if is_link(n) and "page-numbers" in n.classes()] + [n for n in below(lambda n: "pagination" in n.classes()) if is_link(n)]
+    return articles, list(dict.fromkeys(map(href, paged)))
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    article = pa.list_(pa.struct([("href", pa.string()), ("classes", pa.list_(pa.string()))]))
+    for batch in batches:
+        found = [read_links(u or "", p) for u, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], article), pa.array([f[1] for f in found], pa.list_(pa.string()))], ["url", "articles", "paged"])
+
+
+def page_links(pages: DataFrame, host: str) -> DataFrame:
+    """url, recipe_links, ambiguous_links, next_pages of index pages: url, html; each link once, in one form.
+
+    A link of an article whose classes tell a recipe is one; those of other articles are
+    ambiguous. Links off the site are dropped, and index pages are no recipes. A null page has no links.
+    """
+    read = pages.select("url", "html").mapInArrow(_links, "url string, articles array<struct<href:string,classes:array<string>>>, paged array<string>")
+    own = F.filter(F.transform("articles", lambda a: F.struct(canonical_url(a["href"]).alias("href"), looks_like_recipe(a["classes"]).alias("recipe"))), lambda a: on_site(a["href"], host) & index_page_number(a["href"]).isNull())
+    of = lambda wanted: F.array_distinct(F.transform(F.filter(own, lambda a: a["recipe"] == wanted), lambda a: a["href"]))
+    following = F.array_distinct(F.filter(F.transform("paged", canonical_url), lambda u: on_site(u, host) & index_page_number(u).isNotNull()))
+    return read.select("url", of(True).alias("recipe_links"), of(False).alias("ambiguous_links"), following.alias("next_pages"))
+
+
+def last_index_page(links: DataFrame) -> DataFrame:
+    """One row with the greatest page number that index pages link to, 1 without any."""
+    return links.select(F.explode("next_pages").alias("u")).agg(F.coalesce(F.max(index_page_number(F.col("u"))), F.lit(1)).alias("last_page"))
+
+
+def crawled_urls(links: DataFrame, confirmed: DataFrame | None = None) -> DataFrame:
+    """url of each recipe link of all index pages once, and of the ambiguous links that confirmed (url) holds."""
+    sure = links.select(F.explode("recipe_links").alias("url"))
+    if confirmed is not None:
+        sure = sure.unionByName(links.select(F.explode("ambiguous_links").alias("url")).join(confirmed.select("url").distinct(), "url", "left_semi"))
+    return sure.distinct()
+
+
 def urls_to_fetch(found: DataFrame, fetched: DataFrame, url: str = "url") -> DataFrame:
     """Distinct URLs in one form that are not fetched yet."""
     form = lambda df: df.select(canonical_url(F.col(url)).alias(url)).distinct()
