@@ -16,7 +16,7 @@ from stockpot.operators.edit import edit_stats, merge_ids
 from stockpot.operators.ingredients import split_text
 from stockpot.operators.validate import violations
 from stockpot.plans.catalog import canonical_ingredients, canonical_lines, manifest, review_queue
-from stockpot.session import table
+from stockpot.session import cut, table
 from stockpot.sources.pages import canonical_url, slug_of_url
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,14 +237,19 @@ def split_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_text(texts, "text")
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # written once: what is filtered afterwards must not carry the long expressions along
+    return cut(canonical_lines(table(spark, sf_dir, "recipe_doc"), "rec_no", "pos"), "lines")
+
+
 @query()
 def canonical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical_ingredients(canonical_lines(table(spark, sf_dir, "recipe_doc"), "rec_no", "pos"))
+    return canonical_ingredients(_lines(spark, sf_dir))
 
 
 @query()
 def review_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review_queue(canonical_lines(table(spark, sf_dir, "recipe_doc"), "rec_no", "pos"))
+    return review_queue(_lines(spark, sf_dir))
 
 
 @query(f"WITH {_CURRENT} SELECT id, slug, updated_at, revision, 4 AS from_sequence, 5 AS to_sequence, '0000000005.json' AS file_name FROM cur")

@@ -36,10 +36,17 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_children(spark, sf_dir).select("rec_no", "child_kind", "section_no", "child_no")
 
 
+def p7_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The children of the typed nested columns alone, which SQL can check."""
+    return flatten_columns(table(spark, sf_dir, "recipe_doc")).select("rec_no", "child_kind", "child_no", "name")
+
+
 def p7_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many children each structural variant holds."""
     return p7_children(spark, sf_dir).groupBy("child_kind", "variant").agg(F.count("*").alias("n"), F.countDistinct("rec_no").alias("documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_scales": p3_scales, "p6_found": p6_found, "p7_found": p7_found, "p7_children": p7_children, "p7_variants": p7_variants}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_scales": p3_scales, "p6_found": p6_found, "p7_found": p7_found, "p7_children": p7_children, "p7_columns": p7_columns, "p7_variants": p7_variants}
+_KIND = "SELECT rec_no, '{kind}' AS child_kind, row_number() OVER (PARTITION BY rec_no ORDER BY i) AS child_no, x.{field} AS name FROM (SELECT rec_no, generate_subscripts({array}, 1) AS i, unnest({array}) AS x FROM recipe_doc) WHERE x IS NOT NULL"
+_KINDS = (("ingredient", "ingredients", "name"), ("instruction", "instructions", "text"), ("category", "categories", "name"), ("tag", "tags", "name"))
+SQL: dict[str, str] = {"p7_columns": " UNION ALL ".join(_KIND.format(kind=k, array=a, field=f) for k, a, f in _KINDS)}
