@@ -48,10 +48,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_lines(table(spark, sf_dir, "ingredient_line"), own.unionByName(alias), index).select("line_id", "ingredient_id")
 
 
-def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p5_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     recipes = word_and_item_sets(current_rows(table(spark, sf_dir, "recipe_summary"), "name", "ingredient_names"), "recipe_no", "name", "ingredient_names")
+    return near_duplicates(cut(recipes, "recipes"), 0.8, coordinates=128, count=18, rows=6)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
-    recipe = near_duplicates(cut(recipes, "recipes"), 0.8, coordinates=128, count=18, rows=6)
+    recipe = p5_recipes(spark, sf_dir)
     document = near_duplicates(shingle_sets(texts, size=3), 0.6, coordinates=128, count=32, rows=4)
     return recipe.select(F.lit("recipe").alias("record_kind"), "key_a", "key_b").unionByName(document.select(F.lit("document").alias("record_kind"), "key_a", "key_b"))
 
@@ -87,7 +91,7 @@ def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p4_found": p4_found, "p5_found": p5_found, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_texts": p10_texts}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p4_found": p4_found, "p5_found": p5_found, "p5_recipes": p5_recipes, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_texts": p10_texts}
 
 _BASKETS = """
 WITH cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1),
@@ -100,6 +104,16 @@ one AS (SELECT item_kind, x, count(*) AS n FROM item GROUP BY ALL),
 two AS (SELECT a.item_kind, a.x AS item_a, b.x AS item_b, count(*) AS n_ab FROM item a JOIN item b ON a.recipe_no = b.recipe_no AND a.item_kind = b.item_kind AND a.x < b.x GROUP BY ALL HAVING count(*) >= 5),
 pair AS (SELECT two.*, p.n AS n_a, q.n AS n_b, (SELECT count(*) FROM cur) AS n_records FROM two JOIN one p ON p.item_kind = two.item_kind AND p.x = item_a JOIN one q ON q.item_kind = two.item_kind AND q.x = item_b)
 """
+_SIMILAR = r"""
+WITH cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1),
+e AS (
+  SELECT DISTINCT recipe_no, x FROM (
+    SELECT recipe_no, unnest(regexp_extract_all(lower(name), '[\p{L}\p{N}]+')) AS x FROM cur
+    UNION ALL SELECT recipe_no, lower(trim(y)) FROM (SELECT recipe_no, unnest(ingredient_names) AS y FROM cur) WHERE trim(y) <> '')),
+n AS (SELECT recipe_no, count(*) AS n FROM e GROUP BY ALL),
+c AS (SELECT a.recipe_no AS key_a, b.recipe_no AS key_b, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.recipe_no < b.recipe_no GROUP BY ALL)
+SELECT key_a, key_b FROM c JOIN n p ON p.recipe_no = key_a JOIN n q ON q.recipe_no = key_b WHERE k >= 0.8 * (p.n + q.n - k)
+"""
 _TERMS = """
 WITH cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1),
 long AS (
@@ -111,6 +125,7 @@ m AS (SELECT *, CASE WHEN records < 5 THEN 'rare' WHEN records * 10 > (SELECT co
 SQL: dict[str, str] = {
     "p1_found": _BASKETS + "SELECT item_kind, item_a, item_b FROM pair WHERE n_ab * n_records >= 4 * n_a * n_b",
     "p1_pairs": _BASKETS + "SELECT item_kind, item_a, item_b, n_ab, n_a, n_b, n_records, n_ab * n_records / (n_a * n_b) AS lift FROM pair",
+    "p5_recipes": _SIMILAR,
     "p2_found": _TERMS + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
     "p2_terms": _TERMS + "SELECT field_name, term, occurrences, records, mark FROM m",
 }
