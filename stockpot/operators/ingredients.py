@@ -28,12 +28,14 @@ def ingredient_text(text: Column) -> Column:
 
 
 def _with_plain_amounts(text: Column) -> Column:
+    glyphs = "".join(FRACTIONS)
+    table = F.map_entries(F.str_to_map(F.lit(";".join(f"{g}={to}" for g, to in FRACTIONS.items())), F.lit(";"), F.lit("=")))
+
     def plain(t: Column) -> Column:
-        for glyph, to in FRACTIONS.items():
-            t = F.replace(F.regexp_replace(t, rf"(\d){glyph}", f"$1 {to}"), F.lit(glyph), F.lit(to))
-        return t
+        apart = F.regexp_replace(t, rf"(\d)(?=[{glyphs}])", "$1 ")
+        return F.aggregate(table, apart, lambda acc, x: F.replace(acc, x["key"], x["value"]))
 
-    t = let(F.replace(text, F.lit("⁄"), F.lit("/")), lambda v: F.when(v.rlike(f"[{''.join(FRACTIONS)}]"), plain(v)).otherwise(v))
+    t = let(F.replace(text, F.lit("⁄"), F.lit("/")), lambda v: F.when(v.rlike(f"[{glyphs}]"), plain(v)).otherwise(v))
     for pattern, to in (
         (r"(?<=^|\s)/(?=\d)", "1/"),
         (r"(?<=\d)\s*/\s+(?=\d+/\d+\b)", " "),
@@ -66,7 +68,7 @@ def measured(text: Column, units: list[str]) -> Column:
         return let(F.slice(tokens, n + 1, all_of), lambda rest: let(unit_of(rest), lambda unit: named(quantity, unit, rest)))
 
     def unit_of(rest: Column) -> Column:
-        return let(F.rtrim(F.get(rest, F.lit(0)), F.lit(".")), lambda head: F.when(F.lower(head).isin(units), head))
+        return let(F.rtrim(F.get(rest, F.lit(0)), F.lit(".")), lambda head: F.when(F.lower(head).rlike(f"^(?:{'|'.join(units)})$"), head))
 
     def named(quantity: Column, unit: Column, rest: Column) -> Column:
         after = F.slice(rest, F.when(unit.isNotNull(), 2).otherwise(1), all_of)
@@ -232,7 +234,7 @@ def _kind_of(n: Column) -> Column:
         F.when(n == "", "ignore")
         .when(n.rlike("^optional(?: |$)"), "optional")
         .when(n.rlike(CONNECTOR), "ambiguous")
-        .when(F.arrays_overlap(F.split(n, r"\s+"), F.array(*map(F.lit, BUILD_PREPARATIONS))), "preparation")
+        .when(F.arrays_overlap(F.split(n, r"\s+"), F.split(F.lit(" ".join(BUILD_PREPARATIONS)), " ")), "preparation")
         .otherwise("alias")
     )
 
