@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from stockpot.session import cut
 
 
+#: Tokens of a shard if their number is not given.
+SHARD = 50_000_000
+
+
 def quotas(sizes: dict[str, int], targets: dict[str, tuple[float, int]], total: int | None = None) -> dict[str, int]:
     """The size each source contributes: its share of the total, at most max_repeat times what it has.
 
@@ -48,10 +52,11 @@ def _hash(*columns: Column | str) -> Column:
     return F.xxhash64(*columns)
 
 
-def mix(items: DataFrame, targets: DataFrame, key: str = "doc_id", total: int | None = None, shards: int = 16, blocks: int = 256, seed: int = 17) -> DataFrame:
+def mix(items: DataFrame, targets: DataFrame, key: str = "doc_id", total: int | None = None, shards: int | None = None, blocks: int = 256, seed: int = 17) -> DataFrame:
     """shard, pos, key, source, use_no, n_tokens: the mixture, each use of an item on a row of its own.
 
-    items: key, source, n_tokens; targets: source, target_share, max_repeat. blocks: per
+    items: key, source, n_tokens; targets: source, target_share, max_repeat. shards: by
+    default one for each SHARD tokens, 16 at least, so each is small enough to shuffle. blocks: per
     source, so what the driver sees is bounded by sources * blocks whatever the data. A
     source is used in whole passes and one part of a pass; within a pass no item comes
     twice, so none is used more than max_repeat times. Quotas are met to within one item.
@@ -66,6 +71,7 @@ def mix(items: DataFrame, targets: DataFrame, key: str = "doc_id", total: int |
     for r in per_block:
         sizes[r.source] = sizes.get(r.source, 0) + r["size"]
     quota = quotas(sizes, wanted, total)
+    shards = shards or max(16, -(-sum(quota.values()) // SHARD))
     rng = np.random.Generator(np.random.PCG64(seed))
     uses: dict[str, list[tuple[int, int, int | None]]] = {}  # source -> (block, use, the part of it that is taken)
     for source in sorted(quota):
