@@ -12,7 +12,7 @@ from stockpot.functions import text as X
 from stockpot.functions.ids import content_hash, entity_id
 from stockpot.operators import indexes as I
 from stockpot.operators import search as S
-from stockpot.operators.edit import edit_stats, merge_ids
+from stockpot.operators.edit import edit_stats, merge_ids, named_objects, repair
 from stockpot.operators.ingredients import split_text
 from stockpot.operators.validate import violations
 from stockpot.plans.catalog import canonical_ingredients, canonical_lines, manifest, review_queue
@@ -37,9 +37,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 _CURRENT = "cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1)"
 
 
-def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "recipe_summary")
-    return df.groupBy("recipe_no").agg(F.max_by(F.struct(*[c for c in df.columns if c != "recipe_no"]), "revision").alias("_r")).select("recipe_no", "_r.*")
+_SEARCHED = ("name", "slug", "brief_description", "ingredient_names", "category_slugs", "tag_slugs", "difficulty")
+
+
+def _current(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """recipe_no and the named columns of the current rows; no other column is read."""
+    rows = table(spark, sf_dir, "recipe_summary").groupBy("recipe_no").agg(F.max_by(F.struct(*columns), "revision").alias("_r"))
+    return rows.select("recipe_no", "_r.*")
 
 
 def _uuid_sql(kind: str, key: str) -> str:
@@ -105,7 +109,7 @@ v AS (SELECT 'c' AS k, unnest(category_slugs) AS x FROM cur UNION ALL SELECT 't'
 n AS (SELECT count(DISTINCT x) FILTER (k = 'c') AS categories, count(DISTINCT x) FILTER (k = 't') AS tags, count(DISTINCT x) FILTER (k = 'i') AS ingredients FROM v)
 SELECT (SELECT count(*) FROM cur) AS recipes, CAST((SELECT floor(sum(coalesce(total_time_minutes, 0)) / count(*) + 0.5) FROM cur) AS BIGINT) AS average_minutes, n.* FROM n""")
 def catalog_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.catalog_stats(_current(spark, sf_dir))
+    return I.catalog_stats(_current(spark, sf_dir, "category_slugs", "tag_slugs", "ingredient_names", "total_time_minutes"))
 
 
 @query("SELECT strftime(to_timestamp(max(updated_at)) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS generated_at FROM recipe_doc")
@@ -135,22 +139,22 @@ _BLOB = "lower(concat_ws(' ', coalesce(name, ''), coalesce(slug, ''), coalesce(b
 
 @query(f"WITH {_CURRENT} SELECT recipe_no, {_BLOB} AS search_terms FROM cur")
 def search_blob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.with_search_terms(_current(spark, sf_dir)).select("recipe_no", "search_terms")
+    return S.with_search_terms(_current(spark, sf_dir, *_SEARCHED)).select("recipe_no", "search_terms")
 
 
 @query(f"WITH {_CURRENT} SELECT recipe_no, slug FROM cur WHERE contains({_BLOB}, 'smoked') AND list_contains(category_slugs, 'soup') AND list_contains(tag_slugs, 'easy-recipes') AND difficulty = 'medium'")
 def facet_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.search(_current(spark, sf_dir), query=" Smoked ", category="soup", tag="easy-recipes", difficulty="medium").select("recipe_no", "slug")
+    return S.search(_current(spark, sf_dir, *_SEARCHED), query=" Smoked ", category="soup", tag="easy-recipes", difficulty="medium").select("recipe_no", "slug")
 
 
 @query(f"WITH {_CURRENT} SELECT count(*) FILTER (contains({_BLOB}, 'salt')) AS visible, count(*) AS total FROM cur")
 def visible_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.visible(_current(spark, sf_dir), query="salt")
+    return S.visible(_current(spark, sf_dir, *_SEARCHED), query="salt")
 
 
 @query(f"WITH {_CURRENT}, d AS (SELECT slug, arg_max(rec_no, rec_no) AS rec_no, arg_max(revision, rec_no) AS doc_revision FROM recipe_doc GROUP BY slug) SELECT recipe_no, slug, rec_no, doc_revision FROM cur JOIN d USING (slug)")
 def slug_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.slug_join(_current(spark, sf_dir).select("recipe_no", "slug", "revision"), table(spark, sf_dir, "recipe_doc").select("slug", "rec_no", "revision"), "rec_no").select("recipe_no", "slug", "rec_no", "doc_revision")
+    return S.slug_join(_current(spark, sf_dir, "slug", "revision"), table(spark, sf_dir, "recipe_doc").select("slug", "rec_no", "revision"), "rec_no").select("recipe_no", "slug", "rec_no", "doc_revision")
 
 
 @query("""
@@ -217,7 +221,7 @@ SELECT recipe_no, array_to_string(list_sort(list_filter([
   CASE WHEN servings < 3 THEN 'servings: is less than the minimum of 3' END,
   CASE WHEN recipe_type IS NULL THEN 'recipe_type: is not of type string' END], lambda x: x IS NOT NULL)), '; ') AS errors FROM cur""")
 def violation_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _current(spark, sf_dir).select("recipe_no", "difficulty", "servings", "recipe_type")
+    rows = _current(spark, sf_dir, "difficulty", "servings", "recipe_type")
     return rows.select("recipe_no", F.array_join(violations(rows, _SCHEMA), "; ").alias("errors"))
 
 
@@ -254,7 +258,7 @@ def review_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_CURRENT} SELECT id, slug, updated_at, revision, 4 AS from_sequence, 5 AS to_sequence, '0000000005.json' AS file_name FROM cur")
 def manifest_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest(_current(spark, sf_dir).select("id", "slug", "updated_at", "revision"), 5)
+    return manifest(_current(spark, sf_dir, "id", "slug", "updated_at", "revision"), 5)
 
 
 @query(r"SELECT rec_no, 'https://' || lower(split_part(split_part(source.url, '://', 2), '/', 1)) || rtrim(regexp_extract(source.url, '^[a-z]+://[^/?#]*([^?#;]*)', 1), '/') || '/' AS url FROM recipe_doc WHERE source.url LIKE 'https://%'")
@@ -270,3 +274,46 @@ def url_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "string").alias("k"))
+
+
+@query(rf"""WITH {_CURRENT} SELECT recipe_no, CASE WHEN regexp_matches(s, 'salad') THEN 'salad' WHEN regexp_matches(s, 'appetizer|starter') THEN 'appetizer' WHEN regexp_matches(s, 'soup|broth|bisque') THEN 'soup'
+  WHEN regexp_matches(s, 'dessert|cake|cookie|brownie|sweet') THEN 'dessert' WHEN contains(s, 'breakfast') THEN 'breakfast' WHEN contains(s, 'snack') THEN 'snack' WHEN regexp_matches(s, 'drink|beverage|juice|shake|smoothie') THEN 'drink'
+  WHEN contains(s, 'side') THEN 'side' WHEN s IN ('main-course', 'dinner', 'lunch', 'entree') THEN 'main' END AS recipe_type
+  FROM (SELECT recipe_no, trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') AS s FROM cur)""")
+def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _current(spark, sf_dir, "name").select("recipe_no", C.infer_recipe_type(F.array("name")).alias("recipe_type"))
+
+
+@query(f"WITH {_CURRENT} SELECT recipe_no, row_number() OVER (ORDER BY lower(name), slug) AS place FROM cur QUALIFY place <= 100")
+def index_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first hundred entries in index order with their places: a page of an index."""
+    first = I.in_index_order(_current(spark, sf_dir, "name", "slug")).limit(100)
+    return first.agg(F.array_agg("recipe_no").alias("_a")).select(F.posexplode("_a").alias("_p", "recipe_no")).select("recipe_no", (F.col("_p") + 1).cast("long").alias("place"))
+
+
+@query("SELECT line_id, quantity, coalesce(try_cast(regexp_extract(trim(quantity), '([0-9]+(?:[.][0-9]+)?)', 1) AS DOUBLE) > 1, false) AS plural FROM (SELECT DISTINCT line_id, quantity FROM ingredient_line) WHERE quantity NOT LIKE '%/%' AND lower(trim(quantity)) NOT IN ('a', 'an', 'one')")
+def plural_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "ingredient_line").where("quantity not like '%/%' and lower(trim(quantity)) not in ('a', 'an', 'one')").select("line_id", "quantity").distinct()
+    return rows.select("line_id", "quantity", C.is_plural(F.col("quantity")).alias("plural"))
+
+
+@query(r"SELECT tag_slug, string_agg(upper(p[1]) || substr(p, 2), '' ORDER BY i) AS title FROM (SELECT slug AS tag_slug, unnest(regexp_extract_all(slug, '[\s_-]+|[^\s_-]+')) AS p, generate_subscripts(regexp_extract_all(slug, '[\s_-]+|[^\s_-]+'), 1) AS i FROM tag_index) GROUP BY tag_slug")
+def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "tag_index").select(F.col("slug").alias("tag_slug"), X.title_case(F.col("slug")).alias("title"))
+
+
+@query("SELECT rec_no, tags IS NOT NULL AND coalesce(len([x FOR x IN tags IF x IS NULL OR coalesce(x.id, '') = '' OR coalesce(x.slug, '') = '' OR coalesce(x.name, '') = '']), 0) = 0 AS named FROM recipe_doc")
+def named_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "recipe_doc").select("rec_no", named_objects("tags").alias("named"))
+
+
+@query("SELECT rec_no, CASE lower(trim(difficulty)) WHEN 'easy' THEN 'easy' WHEN 'medium' THEN 'medium' WHEN 'hard' THEN 'hard' WHEN 'expert' THEN 'expert' END AS difficulty FROM recipe_doc")
+def page_difficulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "recipe_doc").select("rec_no", C.page_difficulty(F.col("difficulty")).alias("difficulty"))
+
+
+@query()
+def repaired_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repaired against themselves: what is filled is what their own names tell."""
+    docs = table(spark, sf_dir, "recipe_doc").select("rec_no", "id", "slug", "schema_version", "updated_at", "revision", "difficulty", "categories", "tags", F.expr("filter(ingredients, x -> x is not null)").alias("ingredients"))
+    return repair(docs, docs).select("rec_no", F.size("repairs").alias("n_repairs"), F.array_join("repairs", "; ").alias("repairs"))
