@@ -246,3 +246,12 @@ def test_lookalike_pairs(spark):
     docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, form string")
     assert {tuple(r) for r in T.lookalike_pairs(docs).collect()} == {(1, 2), (1, 4), (2, 3), (2, 4), (3, 4), (7, 8), (9, 10)}
     assert T.lookalike_pairs(docs.limit(0)).count() == 0
+
+
+def test_many_similar_classes_are_joined_by_a_shuffle(spark):
+    from stockpot.llm.near_duplicates import similar_classes, spread
+
+    texts = spark.createDataFrame([(i, " ".join([f"w{i // 3}_{j}" for j in range(40)] + [f"x{i}"])) for i in range(30)], "doc_id long, text string")
+    sets = shingle_sets(texts, size=3)
+    pairs = [{tuple(r) for r in spread(*similar_classes(sets, 0.6, 128, 32, 4, broadcast_rows=limit)).collect()} for limit in (0, 1000)]
+    assert pairs[0] == pairs[1] and len(pairs[0]) == 30
