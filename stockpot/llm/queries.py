@@ -21,12 +21,16 @@ from stockpot.session import cut, table
 KINDS = {"ingredient": "ingredient_names", "tag": "tag_slugs", "category": "category_slugs"}
 
 
+def _pairs(spark: SparkSession, sf_dir: str, min_count: int) -> DataFrame:
+    return cooccurrence(current_rows(table(spark, sf_dir, "recipe_summary"), *KINDS.values()), KINDS, min_count)
+
+
 def p1_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cooccurrence(current_rows(table(spark, sf_dir, "recipe_summary"), *KINDS.values()), KINDS, min_count=5)
+    return _pairs(spark, sf_dir, min_count=1)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p1_pairs(spark, sf_dir).where("n_ab * n_records >= 4 * n_a * n_b").select("item_kind", "item_a", "item_b")
+    return _pairs(spark, sf_dir, min_count=5).where("n_ab * n_records >= 4 * n_a * n_b").select("item_kind", "item_a", "item_b")
 
 
 def p2_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

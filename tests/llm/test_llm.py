@@ -17,6 +17,7 @@ from stockpot.llm.dartminhash import bands, signatures
 from stockpot.llm.mixing import mix, quotas, shares, split_quotas
 from stockpot.llm.near_duplicates import near_duplicates, shingle_sets, word_and_item_sets
 from stockpot.llm.packing import pack
+from stockpot.llm.queries import QUERIES
 from stockpot.llm.terms import mark, term_frequency
 from stockpot.llm.token_counts import VOCABULARY, tokenizer, with_token_counts
 
@@ -56,6 +57,14 @@ def test_cooccurrence(spark):
     assert cooccurrence(records.limit(0), {"i": "items"}).count() == 0
 
 
+def test_pairs_of_few_recipes_come_out(spark, tmp_path):
+    rows = [(1, 1, ["a", "b"]), (2, 1, ["a", "b"]), (3, 1, ["b", "c"]), (4, 1, ["c"]), (4, 2, ["a", " C "])]
+    records = spark.createDataFrame([(no, rev, items, None, []) for no, rev, items in rows], "recipe_no long, revision int, ingredient_names array<string>, tag_slugs array<string>, category_slugs array<string>")
+    records.write.parquet(f"{tmp_path}/recipe_summary.parquet")
+    assert {(r.item_a, r.item_b, r.n_ab) for r in QUERIES["p1_pairs"](spark, str(tmp_path)).collect()} == {("a", "b", 2), ("b", "c", 1), ("a", "c", 1)}
+    assert QUERIES["p1_found"](spark, str(tmp_path)).count() == 0
+
+
 def test_term_frequency(spark):
     rng = np.random.default_rng(3)
     rows = [("f", f"t{int(t)}" if t < 40 else "", f"r{int(r)}") for t, r in zip(rng.zipf(1.3, 3000) % 50, rng.integers(0, 60, 3000), strict=True)]
