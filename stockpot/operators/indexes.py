@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpot.functions.classify import total_minutes, utc_text
 from stockpot.functions.ids import entity_id
+from stockpot.session import cut
 
 
 def entity_index(docs: DataFrame, array: str, key: str, attributes: list[str], ordinal: str, count: str = "recipe_count") -> DataFrame:
@@ -50,6 +51,22 @@ def in_index_order(summaries: DataFrame) -> DataFrame:
     return summaries.orderBy(F.lower("name"), "slug")
 
 
+def index_places(summaries: DataFrame, key: str) -> DataFrame:
+    """key and place from 1 of every entry in index order; entries of one name and slug go by key.
+
+    Entries are parted by range and numbered within each part; a part's places start behind
+    those of the parts before it. Only one row a part is gathered.
+    """
+    ordered = summaries.select(key, F.lower("name").alias("_n"), "slug").repartitionByRange("_n", "slug", key).sortWithinPartitions("_n", "slug", key)
+    # the number holds the part in its upper bits and the row within the part in the lower 33
+    numbered = cut(ordered.select(key, F.monotonically_increasing_id().alias("_i")), "places")
+    part, row = F.shiftright("_i", 33).alias("_part"), F.col("_i").bitwiseAND((1 << 33) - 1)
+    sizes = numbered.groupBy(part).agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("_part", before.alias("_start"))
+    return numbered.select(key, part, row.alias("_row")).join(F.broadcast(starts), "_part").select(key, (F.col("_start") + F.col("_row") + 1).alias("place"))
+
+
 def in_locale_order(df: DataFrame, name: str = "name") -> DataFrame:
     return df.orderBy(F.expr(f"`{name}` COLLATE UNICODE"))
 

@@ -286,9 +286,8 @@ def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_CURRENT} SELECT recipe_no, row_number() OVER (ORDER BY lower(name), slug) AS place FROM cur QUALIFY place <= 100")
 def index_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first hundred entries in index order with their places: a page of an index."""
-    first = I.in_index_order(_current(spark, sf_dir, "name", "slug")).limit(100)
-    return first.agg(F.array_agg("recipe_no").alias("_a")).select(F.posexplode("_a").alias("_p", "recipe_no")).select("recipe_no", (F.col("_p") + 1).cast("long").alias("place"))
+    """The place of every entry in index order."""
+    return I.index_places(_current(spark, sf_dir, "name", "slug"), "recipe_no")
 
 
 @query("SELECT line_id, quantity, coalesce(try_cast(regexp_extract(trim(quantity), '([0-9]+(?:[.][0-9]+)?)', 1) AS DOUBLE) > 1, false) AS plural FROM (SELECT DISTINCT line_id, quantity FROM ingredient_line) WHERE quantity NOT LIKE '%/%' AND lower(trim(quantity)) NOT IN ('a', 'an', 'one')")

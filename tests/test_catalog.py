@@ -9,6 +9,7 @@ from stockpot.operators.edit import changed_fields, edit_stats, merge_ids, renam
 from stockpot.operators.replies import ask, choice_content, merge_state, parsed_reply, route
 from stockpot.operators.validate import require_valid, split_valid, violations
 from stockpot.plans.catalog import build_catalog, next_sequence
+from stockpot.queries_catalog import QUERIES
 from stockpot.sources.documents import dump_rows, read_documents, read_hashes, read_url_list
 from stockpot.streaming.manifests import CHANGE, apply_changes, follow, read_changes
 
@@ -68,6 +69,21 @@ def test_orders(spark):
     assert [r.k for r in I.top(counts, "k", 2).collect()] == ["c", "a"]
 
 
+def test_every_entry_has_its_place_in_index_order(spark, tmp_path):
+    rows = [(i, 1, f"{'aBcD'[i % 4]} {i % 7}", f"s{i % 90}") for i in range(300)]
+    spark.createDataFrame([*rows, (5, 0, "zz", "old")], "recipe_no long, revision int, name string, slug string").repartition(5).write.parquet(f"{tmp_path}/recipe_summary.parquet")
+    want = [r[0] for r in sorted(rows, key=lambda r: (r[2].lower(), r[3], r[0]))]
+    got = QUERIES["index_order"](spark, str(tmp_path)).orderBy("place").collect()
+    assert [(r.recipe_no, r.place) for r in got] == [(no, i + 1) for i, no in enumerate(want)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parted = I.index_places(spark.createDataFrame(rows, "recipe_no long, revision int, name string, slug string"), "recipe_no")
+        assert [r.recipe_no for r in parted.orderBy("place").collect()] == want and parted.where("place = 300").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert I.index_places(spark.createDataFrame(rows, "recipe_no long, revision int, name string, slug string").limit(0), "recipe_no").count() == 0
+
+
 def test_search(docs):
     rows = I.recipe_summaries(docs)
     slugs = lambda **f: {r.slug for r in S.search(rows, **f).collect()}
