@@ -292,7 +292,7 @@ def index_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT line_id, quantity, coalesce(try_cast(regexp_extract(trim(quantity), '([0-9]+(?:[.][0-9]+)?)', 1) AS DOUBLE) > 1, false) AS plural FROM (SELECT DISTINCT line_id, quantity FROM ingredient_line) WHERE quantity NOT LIKE '%/%' AND lower(trim(quantity)) NOT IN ('a', 'an', 'one')")
 def plural_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "ingredient_line").where("quantity not like '%/%' and lower(trim(quantity)) not in ('a', 'an', 'one')").select("line_id", "quantity").distinct()
+    rows = table(spark, sf_dir, "ingredient_line").select("line_id", "quantity").distinct()
     return rows.select("line_id", "quantity", C.is_plural(F.col("quantity")).alias("plural"))
 
 

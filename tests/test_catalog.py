@@ -1,5 +1,7 @@
 import hashlib
 import json
+import re
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,6 +86,24 @@ def test_every_entry_has_its_place_in_index_order(spark, tmp_path):
     assert I.index_places(spark.createDataFrame(rows, "recipe_no long, revision int, name string, slug string").limit(0), "recipe_no").count() == 0
 
 
+def _plural(quantity):
+    text = " ".join((quantity or "").lower().split())
+    if text in ("", "a", "an", "one"):
+        return False
+    if m := re.fullmatch(r"(?:(\d+) )?(\d+)/(\d+)", text):
+        return int(m[3]) != 0 and int(m[1] or 0) + Fraction(int(m[2]), int(m[3])) > 1
+    m = re.search(r"\d+(?:\.\d+)?", text)
+    return bool(m) and float(m[0]) > 1
+
+
+def test_plurals_of_all_lines(spark, tmp_path):
+    quantities = [None, "", "a", " An ", "one", "ONE", "1", "2", "1.5", "1/2", "3/2", "1 1/2", "0 1/2", "2/2", "1 0/3", "1 - 1/2", "3/4 to 2", "two", "some", "10-12"]
+    rows = list(enumerate(quantities)) * 2
+    spark.createDataFrame(rows, "line_id long, quantity string").write.parquet(f"{tmp_path}/ingredient_line.parquet")
+    got = [tuple(r) for r in QUERIES["plural_quantities"](spark, str(tmp_path)).orderBy("line_id").collect()]
+    assert got == [(i, q, _plural(q)) for i, q in enumerate(quantities)]
+
+
 def test_search(docs):
     rows = I.recipe_summaries(docs)
     slugs = lambda **f: {r.slug for r in S.search(rows, **f).collect()}
