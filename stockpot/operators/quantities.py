@@ -220,12 +220,10 @@ def statements(lines: DataFrame) -> DataFrame:
     """
     digit = r"[0-9½⅓⅔¼¾⅕⅖⅗⅘⅙⅚⅛⅜⅝⅞]"
     words = rf"(?i)\b(?:{_ANY_NUMBER}|{_ANY_PART})\b|^\s*an?\s"
-    some = F.col("quantity").rlike(f"{digit}|{words}") | F.col("unit").rlike(f"{digit}|{words}") | F.col("name").rlike(f"{digit}|{words}") | F.col("preparation").rlike(digit)
-    # a cm or an inch is the only unit that preparations of most lines have; null keeps them out of Python's memo
-    prep = F.when(F.col("preparation").rlike(digit + r"\s*-?\s*(?i:[mk]?g|oz|lbs?|c?d?m?l|cups?|tbsps?|tsps?)\b"), F.col("preparation"))
-    # a name without a number never crosses into Python
-    name = F.when(F.col("name").rlike(f"{digit}|{words}"), F.col("name"))
-    return lines.where(some).select("line_id", "quantity", "unit", name.alias("name"), prep.alias("preparation")).mapInArrow(_statements, STATEMENT)
+    some = F.col("quantity").rlike(f"{digit}|{words}") | F.col("unit").rlike(f"{digit}|{words}") | F.col("name").rlike(f"{digit}|{words}") | F.col("preparation").rlike(f"{digit}|{words}")
+    # a text without a number never crosses into Python
+    texts = [F.when(F.col(c).rlike(f"{digit}|{words}"), F.col(c)).alias(c) for c in ("name", "preparation")]
+    return lines.where(some).select("line_id", "quantity", "unit", *texts).mapInArrow(_statements, STATEMENT)
 
 
 def calibrate(stated: DataFrame, factors: DataFrame, least: int = 3, near: float = 0.04, rounds: int = 3) -> DataFrame:

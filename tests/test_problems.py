@@ -40,6 +40,14 @@ def test_pairs_tell_the_scale_of_an_unlisted_spelling(spark):
     assert got[0] == ("ml", 240000, 240000)
 
 
+def test_amounts_in_preparation(spark):
+    typed = ["250 grams, softened", "2 pounds", "8 ounces", "1 pound", "8 fl oz", "2 tablespoons", "1 litre", "half a cup", "two cups, chopped", "cut in 2 cm cubes", "in half", "a pinch", None]
+    lines = spark.createDataFrame([(i, None, None, "salt", p) for i, p in enumerate(typed)], "line_id long, quantity string, unit string, name string, preparation string")
+    factors = spark.createDataFrame([*FACTORS, ("lb", "g", 454.0), ("fl oz", "ml", 30.0)], "unit string, base_unit string, factor double")
+    got = {r.line_id: (r.base_unit, r.low_milli) for r in convert_quantities(lines, factors).collect()}
+    assert got == {0: ("g", 250000), 1: ("g", 908000), 2: ("g", 227200), 3: ("g", 454000), 4: ("ml", 240000), 5: ("ml", 30000), 6: ("ml", 1000000), 7: ("ml", 120000), 8: ("ml", 480000)}
+
+
 def test_no_lines(spark):
     lines = spark.createDataFrame([], LINE)
     assert convert_quantities(lines, spark.createDataFrame(FACTORS, "unit string, base_unit string, factor double")).count() == 0
