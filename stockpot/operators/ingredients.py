@@ -57,22 +57,20 @@ def is_amount(token: Column) -> Column:
 
 def measured(text: Column, units: list[str]) -> Column:
     """quantity, unit and rest of an ingredient text: leading amounts, one unit, the word of."""
-    all_of = F.lit(10_000)
-
     def counted(tokens: Column) -> Column:
         first = F.array_position(F.transform(tokens, lambda t: ~((t == "-") | is_amount(t))), True).cast("int")
         return let(F.when(first > 0, first - 1).otherwise(F.size(tokens)), lambda n: parted(tokens, n))
 
     def parted(tokens: Column, n: Column) -> Column:
         quantity = empty_to_null(F.array_join(F.filter(F.slice(tokens, 1, n), lambda t: t != "-"), " "))
-        return let(F.slice(tokens, n + 1, all_of), lambda rest: let(unit_of(rest), lambda unit: named(quantity, unit, rest)))
+        return let(F.slice(tokens, n + 1, F.size(tokens)), lambda rest: let(unit_of(rest), lambda unit: named(quantity, unit, rest)))
 
     def unit_of(rest: Column) -> Column:
         return let(F.rtrim(F.get(rest, F.lit(0)), F.lit(".")), lambda head: F.when(F.lower(head).rlike(f"^(?:{'|'.join(units)})$"), head))
 
     def named(quantity: Column, unit: Column, rest: Column) -> Column:
-        after = F.slice(rest, F.when(unit.isNotNull(), 2).otherwise(1), all_of)
-        name = let(after, lambda a: clean_page(F.array_join(F.slice(a, F.when(F.lower(F.get(a, F.lit(0))) == "of", 2).otherwise(1), all_of), " ")))
+        after = F.slice(rest, F.when(unit.isNotNull(), 2).otherwise(1), F.size(rest))
+        name = let(after, lambda a: clean_page(F.array_join(F.slice(a, F.when(F.lower(F.get(a, F.lit(0))) == "of", 2).otherwise(1), F.size(a)), " ")))
         return F.struct(quantity.alias("quantity"), unit.alias("unit"), name.alias("rest"))
 
     return let(F.filter(F.split(ingredient_text(text), " "), lambda t: t != ""), counted)

@@ -56,3 +56,11 @@ def test_documents_renumber_what_is_kept(spark):
     kept = [(r.document, r.position, r.name) for r in canonical_ingredients(lines).orderBy("document", "position").collect()]
     assert kept == [(1, 1, "salt"), (1, 2, "pepper"), (1, 3, "egg")]
     assert {(r.position, r.resolution) for r in review_queue(lines).collect()} == {(2, "split"), (3, "review")}
+
+
+def test_texts_of_any_length_keep_their_end(spark):
+    texts = ["2 cups of " + "w " * 10_050 + "end", "w " * 10_050 + "end", "2 cups", "2", ""]
+    got = {r.i: (r.quantity, r.unit, r.name) for r in split_text(spark.createDataFrame(list(enumerate(texts)), "i int, t string"), "t").collect()}
+    words = "w " * 10_050 + "end"
+    assert got[0] == ("2", "cups", words) and got[1] == (None, None, words)
+    assert got[2][:2] == ("2", "cups") and got[3][:2] == ("2", None) and got[4] == (None, None, "")
