@@ -88,7 +88,9 @@ def canonical(text: str) -> str:
     text = LINE_ENDS.sub("\n", text)
     _, first_plane, any_plane = _tables()
     parts, done = [], 0
-    for run in (first_plane if max(text) < "\U00010000" else any_plane).finditer(text):
+    # two UTF-16 units stand for a character beyond the first plane
+    beyond = len(text.encode("utf-16-le", "surrogatepass")) > 2 * len(text)
+    for run in (any_plane if beyond else first_plane).finditer(text):
         # the character before a run may compose with it
         start, end = max(done, run.start() - 1), run.end()
         segment = text[start:end]

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpot.llm.canonical_list import map_lines
-from stockpot.llm.canonical_text import canonical_texts, lookalike_pairs
+from stockpot.llm.canonical_text import canonical, canonical_texts, lookalike_pairs
 from stockpot.llm.cooccurrence import cooccurrence
 from stockpot.llm.current import current_rows
 from stockpot.llm.mixing import mix, shares
-from stockpot.llm.near_duplicates import near_duplicates, shingle_sets, word_and_item_sets
+from stockpot.llm.near_duplicates import Signed, classes_and_links, near_duplicates, signed_sets, signed_texts, word_and_item_sets
 from stockpot.llm.packing import pack
 from stockpot.llm.terms import mark, term_frequency
 from stockpot.llm.token_counts import with_token_counts
@@ -52,15 +52,29 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_lines(table(spark, sf_dir, "ingredient_line"), own.unionByName(alias), index).select("line_id", "ingredient_id")
 
 
+def _recipes(spark: SparkSession, sf_dir: str) -> Signed:
+    rows = current_rows(table(spark, sf_dir, "recipe_summary"), "name", "ingredient_names")
+    return signed_sets(cut(word_and_item_sets(rows, "recipe_no", "name", "ingredient_names"), "recipes"), coordinates=128, count=18, rows=6)
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> Signed:
+    return signed_texts(table(spark, sf_dir, "documents"), size=3, form=canonical, coordinates=128, count=32, rows=4)
+
+
 def p5_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recipes = word_and_item_sets(current_rows(table(spark, sf_dir, "recipe_summary"), "name", "ingredient_names"), "recipe_no", "name", "ingredient_names")
-    return near_duplicates(cut(recipes, "recipes"), 0.8, coordinates=128, count=18, rows=6)
+    return near_duplicates(_recipes(spark, sf_dir), 0.8)
+
+
+def p5_recipe_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes_and_links(_recipes(spark, sf_dir), 0.8)
+
+
+def p5_document_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes_and_links(_documents(spark, sf_dir), 0.6)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
-    recipe = p5_recipes(spark, sf_dir)
-    document = near_duplicates(shingle_sets(texts, size=3), 0.6, coordinates=128, count=32, rows=4)
+    recipe, document = p5_recipes(spark, sf_dir), near_duplicates(_documents(spark, sf_dir), 0.6)
     return recipe.select(F.lit("recipe").alias("record_kind"), "key_a", "key_b").unionByName(document.select(F.lit("document").alias("record_kind"), "key_a", "key_b"))
 
 
@@ -95,7 +109,7 @@ def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p4_found": p4_found, "p5_found": p5_found, "p5_recipes": p5_recipes, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_texts": p10_texts}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p4_found": p4_found, "p5_found": p5_found, "p5_recipes": p5_recipes, "p5_recipe_classes": p5_recipe_classes, "p5_document_classes": p5_document_classes, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_texts": p10_texts}
 
 _BASKETS = """
 WITH cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1),

@@ -15,7 +15,7 @@ from stockpot.llm.cooccurrence import cooccurrence, gram
 from stockpot.llm.current import current_rows
 from stockpot.llm.dartminhash import bands, signatures
 from stockpot.llm.mixing import mix, quotas, shares, split_quotas
-from stockpot.llm.near_duplicates import near_duplicates, shingle_sets, word_and_item_sets
+from stockpot.llm.near_duplicates import MAPPED, SIZED, _may_be_similar, classes_and_links, may_be_similar, near_duplicates, shingle_sets, signed_sets, signed_texts, sketches, word_and_item_sets
 from stockpot.llm.packing import pack
 from stockpot.llm.queries import QUERIES
 from stockpot.llm.terms import mark, term_frequency
@@ -146,12 +146,41 @@ def test_near_duplicate_texts(spark):
     rows = spark.createDataFrame([(k, t, 1) for k, t in texts.items()] + [(7, texts[7], 1), (None, "x y z", 1), (9999, None, 1)], "doc_id long, text string, members int")
     words = {k: re.findall(r"[^\W_]+", t.lower()) for k, t in texts.items()}
     sets = {k: {tuple(w[i : i + 3]) for i in range(len(w) - 2)} for k, w in words.items()}
-    found = near_duplicates(shingle_sets(rows, size=3), 0.6, coordinates=128, count=40, rows=4)
+    found = near_duplicates(signed_texts(rows, size=3, coordinates=128, count=40, rows=4), 0.6)
     got = [(r.key_a, r.key_b) for r in found.collect()]
     want = _jaccard_pairs(sets, 0.6)
     assert len(got) == len(set(got)) and set(got) <= want and len(want - set(got)) <= 0.02 * len(want)
     assert (1002, 1003) in got and (1004, 1005) in got
-    assert near_duplicates(shingle_sets(rows.limit(0))).count() == 0
+    assert near_duplicates(signed_texts(rows.limit(0))).count() == 0
+    # sets that are stored give the same as sets that are made again
+    stored = near_duplicates(signed_sets(shingle_sets(rows, size=3), 128, 40, 4), 0.6)
+    assert {(r.key_a, r.key_b) for r in stored.collect()} == set(got)
+    report = {r.key: r for r in classes_and_links(signed_texts(rows, size=3, coordinates=128, count=40, rows=4), 0.6).collect()}
+    assert set(report) == {k for k, v in sets.items() if v}
+    of_class = {k: min(j for j in sets if sets[j] == sets[k]) for k in report}
+    assert {k: r.class_key for k, r in report.items()} == of_class and all(r.copies == sum(of_class[j] == r.class_key for j in report) for r in report.values())
+    firsts = set(of_class.values())
+    links = Counter(k for pair in set(got) if set(pair) <= firsts for k in pair)
+    assert all(r.links == links[r.class_key] for r in report.values())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1, max_size=120), st.sets(st.integers(0, 400), max_size=20), st.integers(0, 20), st.sampled_from([0.6, 0.8, 0.95]))
+def test_sketches_reject_no_similar_sets(a, more, fewer, threshold):
+    b = set(sorted(a)[: max(1, len(a) - fewer)]) | more
+    members = np.array([*sorted(a), *sorted(b)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    own = sketches(members, np.array([len(a), len(b)]))
+    if len(a & b) / len(a | b) >= threshold:
+        assert may_be_similar(own[:1], own[1:], threshold)[0]
+
+
+def test_sketches_of_all_sizes(spark):
+    lengths = np.array([1, 2, MAPPED, MAPPED + 1, SIZED, SIZED + 1])
+    own = sketches(np.arange(lengths.sum(), dtype=np.uint64), lengths)
+    assert (own & np.uint64(255)).tolist() == [1, 2, MAPPED, MAPPED + 1, SIZED, 0] and (own[3:] >> np.uint64(8) == 0).all()
+    rows = spark.createDataFrame([(int(x), int(y)) for x in own.view(np.int64) for y in own.view(np.int64)], "a long, b long")
+    got = [r[0] for r in rows.select(_may_be_similar("a", "b", 0.6)).collect()]
+    assert got == [bool(may_be_similar(own[i : i + 1], own[j : j + 1], 0.6)[0]) for i in range(6) for j in range(6)]
 
 
 def test_hot_bands_take_the_other_way(spark):
@@ -159,14 +188,15 @@ def test_hot_bands_take_the_other_way(spark):
 
     texts = spark.createDataFrame([(i, " ".join([f"w{j}" for j in range(60)] + [f"x{i}"])) for i in range(30)], "doc_id long, text string")
     sets = shingle_sets(texts, size=3)
-    usual, hot = candidate_pairs(sets, 64, 10, 2), candidate_pairs(sets, 64, 10, 2, most=3)
+    keys = signed_sets(sets, 64, 10, 2).bands
+    usual, hot = candidate_pairs(keys, 0.0), candidate_pairs(keys, 0.0, most=3)
     assert {tuple(r) for r in usual.collect()} == {tuple(r) for r in hot.collect()} and usual.count() > 400
 
 
 def test_near_duplicate_records(spark):
     rows = [(1, "Soup Of Salt", ["salt", "Water ", "egg", "rice", None, " "]), (2, "soup of salt!", ["salt", "water", "egg", "rice"]), (3, "soup of", ["water", "egg", "rice", "salt", "ham"]), (4, None, None), (None, "x", []), (5, "other", ["thing"])]
     records = spark.createDataFrame(rows, "recipe_no long, name string, items array<string>")
-    got = {tuple(r) for r in near_duplicates(word_and_item_sets(records, "recipe_no", "name", "items"), 0.8).collect()}
+    got = {tuple(r) for r in near_duplicates(signed_sets(word_and_item_sets(records, "recipe_no", "name", "items")), 0.8).collect()}
     assert got == {(1, 2), (1, 3), (2, 3)}
 
 
@@ -261,6 +291,6 @@ def test_many_similar_classes_are_joined_by_a_shuffle(spark):
     from stockpot.llm.near_duplicates import similar_classes, spread
 
     texts = spark.createDataFrame([(i, " ".join([f"w{i // 3}_{j}" for j in range(40)] + [f"x{i}"])) for i in range(30)], "doc_id long, text string")
-    sets = shingle_sets(texts, size=3)
-    pairs = [{tuple(r) for r in spread(*similar_classes(sets, 0.6, 128, 32, 4, broadcast_rows=limit)).collect()} for limit in (0, 1000)]
+    signed = signed_texts(texts, size=3, coordinates=128, count=32, rows=4)
+    pairs = [{tuple(r) for r in spread(similar_classes(signed, 0.6, broadcast_rows=limit), signed.membership).collect()} for limit in (0, 1000)]
     assert pairs[0] == pairs[1] and len(pairs[0]) == 30
