@@ -1,11 +1,12 @@
 """Problem 3: amounts stated in many units and places, converted to common units.
 
-Method. Every spelling of a unit is treated as a source with a scale of its own.
-Lines that state one amount twice ("3 cups (720 ml)") measure the same entity in
-two sources; the median ratio of such pairs is the robust pairwise scale, with an
-offset of zero. Starting from the canonical spellings of the factor table the scales
-are propagated through the graph of pairs and snapped to the nearest known factor.
-A spelling that no pair reaches falls back to the list of known spellings.
+Method. Every spelling of a unit is a source, a line the entity. Lines that state one amount
+twice ("3 cups (720 ml)") link two sources; the lines of a pair of sources give a robust scale
+and offset between them. Known notations of a unit ("Tbsp." of tbsp) are links of scale 1.
+Scales are propagated from the canonical spellings of the factor table through the graph of all
+these links and snapped to the known conversions; links with an offset tell of no such
+conversion and lead nowhere. A spelling that the graph reaches is a unit: spellings that no
+list holds but that measured links reach are then read in all texts.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockpot.session import cut
@@ -70,8 +71,6 @@ _AND_PART = re.compile(r"(?<=\d) and (?=\d+/\d)")
 _GLYPH = re.compile("[" + "".join(FRACTIONS) + "]")
 _DIGIT = re.compile(r"\d|[" + "".join(FRACTIONS) + "]")
 
-STATEMENT = "line_id long, lo double, hi double, spelling string, lo2 double, hi2 double, spelling2 string"
-
 
 def _plain(text: str) -> str:
     """One form of fractions, dashes and blanks, so that one pattern reads numbers."""
@@ -128,12 +127,12 @@ def fold(spelling: str) -> str:
     return re.sub(r"\s+", " ", spelling.replace(".", " ").lower()).strip()
 
 
-def _read_field(quantity: str | None, unit: str | None) -> tuple:
-    """The amount that quantity and unit state, the packages they count, and an amount in a spelling on no list."""
-    field = _words_to_number(_plain(f"{quantity or ''} {unit or ''}"))
+def _read_field(quantity: str | None, unit: str | None, known: set[str]) -> tuple:
+    """The amount that quantity and unit state, the packages they count, and an amount in a spelling that is not known."""
+    field = _words_to_number(_plain(f"{quantity or ''} {unit or ''}"), known)
     if not _DIGIT.search(field):
         return None, None, None
-    if first := _read(field, KNOWN):
+    if first := _read(field, known):
         return first, None, None
     if _PACK.search(field):
         return None, ((m := _COUNT.search(field)) and _ends(m)), None
@@ -141,13 +140,13 @@ def _read_field(quantity: str | None, unit: str | None) -> tuple:
     return None, None, m and (n := _ends(m)) and (*n, re.sub(r"\s+", " ", m["unit"]))
 
 
-def _read_text(text: str) -> tuple:
+def _read_text(text: str, known: set[str]) -> tuple:
     """The amount within a text, and whether the text itself tells of packages."""
-    text = _words_to_number(_plain(text), of_name=True)
-    return (_read(text, KNOWN), bool(_PACK.search(text))) if _DIGIT.search(text) else (None, False)
+    text = _words_to_number(_plain(text), known, of_name=True)
+    return (_read(text, known), bool(_PACK.search(text))) if _DIGIT.search(text) else (None, False)
 
 
-def _words_to_number(text: str, of_name: bool = False) -> str:
+def _words_to_number(text: str, known: set[str], of_name: bool = False) -> str:
     """A text with its number words as digits, parts as fractions.
 
     In a name only those count that a unit or package follows, or a range for whole
@@ -157,7 +156,7 @@ def _words_to_number(text: str, of_name: bool = False) -> str:
     def digits(m: re.Match) -> str:
         if of_name:
             after, counts = _NEXT.match(text, m.end()), m["number"] and m.start() == 0 and _SIZE.match(text, m.end())
-            if not counts and (not after or not (fold(after[1]) in KNOWN or after[1] in CASED or _PACK.fullmatch(after[1]) or not m["part"] and after[1] in ("to", "-"))):
+            if not counts and (not after or not (fold(after[1]) in known or after[1] in CASED or _PACK.fullmatch(after[1]) or not m["part"] and after[1] in ("to", "-"))):
                 return m[0]
         if m["whole"]:
             return f"{NUMBER_WORDS.get(m['whole'].lower(), m['whole'])} 1/{PART_WORDS[m['rest'].lower()]}"
@@ -180,96 +179,152 @@ def _combine(field: tuple, text: tuple) -> list[tuple[float, float, str]]:
     return [x for x in (first, second) if x is not None]
 
 
-def parse_line(quantity: str | None, unit: str | None, name: str | None, preparation: str | None = None) -> list[tuple[float, float, str]]:
+KNOWN = {s for known in SPELLINGS.values() for s in known}
+LEXICON = {s: unit for unit, known in SPELLINGS.items() for s in known}
+
+
+def parse_line(quantity: str | None, unit: str | None, name: str | None, preparation: str | None = None, known: set[str] = KNOWN) -> list[tuple[float, float, str]]:
     """The amounts that a line states, at most two: by quantity and unit, and within its text.
 
     A field that is null counts as empty. A line that states none gives an empty list.
     """
-    field, text = _read_field(quantity, unit), _read_text(name or "")
+    field, text = _read_field(quantity, unit, known), _read_text(name or "", known)
     if field[0] is None and text[0] is None and preparation:
-        text = _read_text(preparation)
+        text = _read_text(preparation, known)
     return _combine(field, text)
 
 
-KNOWN = {s for known in SPELLINGS.values() for s in known}
-LEXICON = {s: unit for unit, known in SPELLINGS.items() for s in known}
+STATEMENT = "line_id long, at timestamp, lo double, hi double, spelling string, lo2 double, hi2 double, spelling2 string"
 
 
-def _statements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    # the memos save time only: an answer never depends on them
-    field_of, text_of = lru_cache(20_000)(_read_field), lru_cache(20_000)(_read_text)
-    nothing = (None, False)
-    names = ["line_id", "lo", "hi", "spelling", "lo2", "hi2", "spelling2"]
-    types = [pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.float64(), pa.float64(), pa.string()]
-    for batch in batches:
-        out: list[list] = [[] for _ in names]
-        for line, quantity, unit, name, preparation in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-            field, text = field_of(quantity, unit), text_of(name) if name else nothing
-            if field[0] is None and text[0] is None and preparation:
-                text = text_of(preparation)
-            if found := _combine(field, text):
-                for column, value in zip(out, (line, *found[0], *(found[1] if len(found) > 1 else (None, None, None))), strict=True):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types, strict=True)], names)
-
-
-def statements(lines: DataFrame) -> DataFrame:
-    """One row per line that states an amount: its ends and spelling, and those of a second statement.
-
-    Lines without any digit and without a number word are dropped by the scan.
-    """
-    digit = r"[0-9½⅓⅔¼¾⅕⅖⅗⅘⅙⅚⅛⅜⅝⅞]"
-    words = rf"(?i)\b(?:{_ANY_NUMBER}|{_ANY_PART})\b|^\s*an?\s"
-    some = F.col("quantity").rlike(f"{digit}|{words}") | F.col("unit").rlike(f"{digit}|{words}") | F.col("name").rlike(f"{digit}|{words}") | F.col("preparation").rlike(f"{digit}|{words}")
-    # a text without a number never crosses into Python
-    texts = [F.when(F.col(c).rlike(f"{digit}|{words}"), F.col(c)).alias(c) for c in ("name", "preparation")]
-    return lines.where(some).select("line_id", "quantity", "unit", *texts).mapInArrow(_statements, STATEMENT)
+def _statements(known: set[str]):
+    def statements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the memos save time only: an answer never depends on them
+        field_of, text_of = lru_cache(20_000)(lambda q, u: _read_field(q, u, known)), lru_cache(20_000)(lambda t: _read_text(t, known))
+        nothing, none = (None, False), (None,) * 3
+        names = ["lo", "hi", "spelling", "lo2", "hi2", "spelling2"]
+        types = [pa.float64(), pa.float64(), pa.string()] * 2
+        for batch in batches:
+            rows = []
+            for quantity, unit, name, preparation in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                field, text = field_of(quantity, unit), text_of(name) if name else nothing
+                if field[0] is None and text[0] is None and preparation:
+                    text = text_of(preparation)
+                found = _combine(field, text)
+                rows.append((*(found[0] if found else none), *(found[1] if len(found) > 1 else none)))
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, t) for v, t in zip(columns, types, strict=True))], ["line_id", "at", *names])
 
+    return statements
 
-def calibrate(stated: DataFrame, factors: DataFrame, least: int = 3, near: float = 0.04, rounds: int = 3) -> DataFrame:
-    """spelling, base_unit, factor, pairs: the scale of each spelling.
 
-    least: pairs that an edge of the graph needs. near: the relative distance within which
-    a scale snaps to a known factor. rounds: steps of propagation. The tables here are of
-    the size of the set of spellings, never of the lines.
+#: What a text must hold for the parser to find a number in it; wider than the parser, never narrower.
+NUMBERED = rf"(?iu)[\p{{Nd}}{''.join(FRACTIONS)}]|(?<![a-z])(?:{_ANY_NUMBER}|{_ANY_PART})(?![a-z])|^[\s\p{{Z}}\x1c-\x1f\x85]*an?(?![a-z])"
+
+
+def statements(lines: DataFrame, order: str | None = "loaded_at", known: set[str] = KNOWN) -> DataFrame:
+    """One row per line (STATEMENT): the ends and spelling of the amount it states, and those of a second statement.
+
+    The spelling of a line that states none is null. at: when the row was delivered, null
+    without the column order. Texts without a number never leave the scan.
+    """
+    at = F.col(order).cast("timestamp") if order and order in lines.columns else F.lit(None).cast("timestamp")
+    numbered = [F.coalesce(F.col(c).rlike(NUMBERED), F.lit(False)) for c in ("quantity", "unit", "name", "preparation")]
+    texts = [F.when(n, F.col(c)).alias(c) for n, c in zip(numbered[2:], ("name", "preparation"), strict=True)]
+    rows = lines.select(F.col("line_id").cast("long").alias("line_id"), at.alias("at"), "quantity", "unit", *texts, (numbered[0] | numbered[1] | numbered[2] | numbered[3]).alias("_n"))
+    parsed = rows.where("_n").drop("_n").mapInArrow(_statements(known), STATEMENT)
+    blank = [F.lit(None).cast(t).alias(n) for n, t in (f.strip().split() for f in STATEMENT.split(",")[2:])]
+    return parsed.unionByName(rows.where("not _n").select("line_id", "at", *blank))
+
+
+def measured_links(stated: DataFrame, least: int = 3, near: float = 0.04) -> DataFrame:
+    """spelling, spelling2, scale, offset, pairs: an amount a by the one spelling is scale * a + offset by the other.
+
+    Robust estimates over the lines that state one amount in both: the scale is the slope between
+    outer quantiles, the median ratio where it agrees with the slope, as then the offset is null.
+    least: pairs that a link needs. near: the relative distance up to which two scales are one.
+    Spellings whose ratios scatter more than that, without a line that explains them, are not linked.
     """
-    known = factors.where("unit is not null and factor > 0").select("unit", "base_unit", "factor").dropDuplicates(["unit"])
-    lexicon = stated.sparkSession.createDataFrame([(s, u) for s, u in LEXICON.items()] + list(CASED.items()), "folded string, unit string")
-    folded = F.when(F.col("spelling").isin(list(CASED)), F.col("spelling")).otherwise(F.trim(F.regexp_replace(F.lower(F.regexp_replace("spelling", r"\.", " ")), r"\s+", " ")))
-    by_list = F.broadcast(lexicon.join(known, "unit").select("folded", "base_unit", "factor"))
     both = stated.where("spelling2 is not null and lo > 0 and lo2 > 0 and lo = hi and lo2 = hi2")
-    edges = both.groupBy("spelling", "spelling2").agg(F.expr("percentile_approx(lo2 / lo, array(0.1, 0.5, 0.9), 1000)").alias("p"), F.count("*").alias("pairs"))
-    # pairs that don't agree on one ratio measure different things
-    edges = edges.where((F.col("pairs") >= least) & (F.col("p")[2] <= F.col("p")[0] * (1 + 2 * near))).select("spelling", "spelling2", F.col("p")[1].alias("ratio"), "pairs")
-    edges = cut(edges.union(edges.select(F.col("spelling2"), F.col("spelling"), 1 / F.col("ratio"), "pairs")), "edges")
-    spellings = stated.select("spelling").union(stated.select("spelling2")).where("spelling is not null").groupBy("spelling").count()
-    spellings = cut(spellings, "spellings")
-    # canonical spellings are the anchors; scales reach the others along the pairs
-    reached = spellings.join(known.withColumnRenamed("unit", "spelling"), "spelling").select("spelling", "base_unit", "factor", F.lit(0).alias("step"), F.lit(0).cast("long").alias("pairs"))
-    for step in range(1, rounds + 1):
-        # an edge a -> b with ratio r says that one a is r of b
-        new = edges.join(reached.select(F.col("spelling").alias("spelling2"), "base_unit", "factor"), "spelling2").select("spelling", "base_unit", (F.col("ratio") * F.col("factor")).alias("factor"), F.lit(step).alias("step"), "pairs")
-        best = Window.partitionBy("spelling").orderBy("step", F.desc("pairs"), "base_unit", "factor")
-        reached = reached.unionByName(new).withColumn("_r", F.row_number().over(best)).where("_r = 1").drop("_r")
+    at = "array(0.1, 0.5, 0.9), 1000)"
+    links = both.groupBy("spelling", "spelling2").agg(F.expr(f"percentile_approx(lo, {at}").alias("x"), F.expr(f"percentile_approx(lo2, {at}").alias("y"), F.expr(f"percentile_approx(lo2 / lo, {at}").alias("r"), F.count("*").alias("pairs"))
+    links = links.where(F.col("pairs") >= least)
+    slope = F.try_divide(F.col("y")[2] - F.col("y")[0], F.col("x")[2] - F.col("x")[0])
+    links = links.withColumn("slope", F.coalesce(slope, F.col("r")[1])).withColumn("even", F.col("r")[2] <= F.col("r")[0] * (1 + 2 * near))
+    links = links.withColumn("offset", F.when(F.col("even"), 0.0).otherwise(F.col("y")[1] - F.col("slope") * F.col("x")[1])).withColumn("scale", F.when(F.col("even"), F.col("r")[1]).otherwise(F.col("slope")))
+    # three quantiles on one line tell that a scale and an offset explain the pairs
+    fits = F.abs(F.col("y")[0] - F.col("scale") * F.col("x")[0] - F.col("offset")) <= near * F.col("y")[0]
+    return links.where(F.col("even") | ((F.col("scale") > 0) & fits)).select("spelling", "spelling2", "scale", "offset", "pairs")
+
+
+def _folded(spelling: str) -> Column:
+    """fold as a Column; spellings in which case counts stay."""
+    return F.when(F.col(spelling).isin(list(CASED)), F.col(spelling)).otherwise(F.trim(F.regexp_replace(F.lower(F.regexp_replace(spelling, r"\.", " ")), r"\s+", " ")))
+
+
+def calibrate(stated: DataFrame, factors: DataFrame, least: int = 3, near: float = 0.04) -> DataFrame:
+    """spelling, base_unit, factor, steps, pairs: the scale of each spelling that the graph reaches.
+
+    steps: links from the nearest canonical spelling; pairs: lines behind the last link, 0 for a
+    known notation. Links go both ways. A spelling is reached in the fewest steps, by measured
+    links first and of these by the one with the most pairs, and its scale is snapped to a
+    factor within near before it is passed on; what snaps to none is no unit. The tables here
+    are of the size of the set of spellings, never of the lines.
+    """
+    spark = stated.sparkSession
+    known = cut(factors.where("unit is not null and factor > 0").select("unit", "base_unit", F.col("factor").cast("double").alias("factor")).dropDuplicates(["unit"]), "factors")
+    measured = cut(measured_links(stated, least, near), "links")
+    spellings = cut(stated.select("spelling").union(stated.select("spelling2")).where("spelling is not null").distinct(), "spellings")
+    lexicon = spark.createDataFrame(list(LEXICON.items()) + list(CASED.items()), "folded string, unit string")
+    notations = spellings.withColumn("folded", _folded("spelling")).join(F.broadcast(lexicon), "folded").select("spelling", F.col("unit").alias("spelling2"), F.lit(1.0).alias("scale"), F.lit(0).cast("long").alias("pairs"))
+    straight = measured.where("offset = 0").select("spelling", "spelling2", "scale", "pairs")
+    links = straight.unionByName(notations.where("spelling <> spelling2"))
+    links = cut(links.unionByName(links.select(F.col("spelling2").alias("spelling"), F.col("spelling").alias("spelling2"), (1 / F.col("scale")).alias("scale"), "pairs")), "graph")
+    reached = known.select(F.col("unit").alias("spelling"), "base_unit", "factor", F.lit(0).alias("steps"), F.lit(0).cast("long").alias("pairs"))
+    targets = F.broadcast(known.select("base_unit", F.col("factor").alias("known_factor")).distinct())
     far = F.abs(F.log(F.col("factor") / F.col("known_factor")))
-    snapped = reached.join(F.broadcast(known.select(F.col("base_unit"), F.col("factor").alias("known_factor"))), "base_unit").where(far < math.log1p(near))
-    snapped = snapped.groupBy("spelling").agg(F.min_by(F.struct("base_unit", F.col("known_factor").alias("factor"), "pairs"), far).alias("s")).select("spelling", F.col("s.base_unit").alias("graph_base"), F.col("s.factor").alias("graph_factor"), F.col("s.pairs").alias("pairs"))
-    every = spellings.withColumn("folded", folded).join(by_list, "folded", "left").join(snapped, "spelling", "left")
-    return every.select("spelling", F.coalesce("graph_base", "base_unit").alias("base_unit"), F.coalesce("graph_factor", "factor").alias("factor"), F.coalesce("pairs", F.lit(0)).alias("pairs")).where("base_unit is not null")
+    step = 0
+    while True:
+        step += 1
+        front = reached.where(F.col("steps") == step - 1).select(F.col("spelling").alias("spelling2"), "base_unit", "factor")
+        new = links.join(front, "spelling2").join(reached.select("spelling"), "spelling", "left_anti").select("spelling", "base_unit", (F.col("scale") * F.col("factor")).alias("factor"), "pairs")
+        new = new.join(targets, "base_unit").where(far <= math.log1p(near))
+        new = new.groupBy("spelling").agg(F.max_by(F.struct("base_unit", F.col("known_factor").alias("factor"), "pairs"), F.struct("pairs", -far, "base_unit", "known_factor")).alias("s"))
+        new = cut(new.select("spelling", "s.base_unit", "s.factor", F.lit(step).alias("steps"), "s.pairs"), "reached")
+        # ends, as each turn reaches spellings that no turn before it has
+        if not new.take(1):
+            break
+        reached = cut(reached.unionByName(new), "scales")
+    return spellings.join(reached, "spelling")
+
+
+def _learned(scales: DataFrame) -> set[str]:
+    """Spellings that are units by measured links alone; as few as there are units that people invent and convert beside."""
+    return {fold(r.spelling) for r in scales.where("pairs > 0").select("spelling").distinct().toLocalIterator()} - KNOWN
 
 
-def convert_quantities(lines: DataFrame, factors: DataFrame) -> DataFrame:
+def convert_quantities(lines: DataFrame, factors: DataFrame, order: str | None = "loaded_at") -> DataFrame:
     """line_id, base_unit, low_milli, high_milli, spelling for each line that states a mass or volume.
 
-    lines: line_id, quantity, unit, name, preparation; other columns are ignored. A line
-    delivered several times counts once. Nulls and empty texts state nothing. The amount
-    that quantity and unit state goes before one within the text. Empty tables give no rows.
+    lines: line_id, quantity, unit, name, preparation; other columns are ignored. Of a line
+    delivered several times the last by order counts, of two at once the greater by value.
+    Nulls and empty texts state nothing. The amount that quantity and unit state goes before
+    one within the text. Empty tables give no rows.
     """
-    stated = cut(statements(lines), "stated")
-    scale = F.broadcast(calibrate(stated, factors).select("spelling", "base_unit", "factor"))
+    stated = cut(statements(lines, order), "stated")
+    scales = cut(calibrate(stated, factors), "scales")
+    if learned := _learned(scales):
+        # texts may hold the units that the links have told; lines without one read as before
+        stated = cut(statements(lines, order, KNOWN | learned), "stated")
+        scales = cut(calibrate(stated, factors), "scales")
+    last = F.max(F.struct("at", "lo", "hi", "spelling", "lo2", "hi2", "spelling2")).alias("_s")
+    rows = stated.groupBy("line_id").agg(last).select("line_id", "_s.*").where("spelling is not null")
+    scale = scales.select("spelling", "base_unit", "factor")
+    # spellings are typed by people, so their table is broadcast by a check of its size alone
+    scale = F.broadcast(scale) if scale.count() <= 100_000 else scale
     second = scale.select(F.col("spelling").alias("spelling2"), F.col("base_unit").alias("base2"), F.col("factor").alias("factor2"))
     milli = lambda end, factor: F.floor(F.col(end) * F.col(factor) * 1000 + 0.5 + 1e-6).cast("long")
-    rows = stated.join(scale, "spelling", "left").join(second, "spelling2", "left")
+    rows = rows.join(scale, "spelling", "left").join(second, "spelling2", "left")
     own = F.col("base_unit").isNotNull()
     return rows.where("base_unit is not null or base2 is not null").select(
         "line_id",
@@ -277,4 +332,4 @@ def convert_quantities(lines: DataFrame, factors: DataFrame) -> DataFrame:
         F.when(own, milli("lo", "factor")).otherwise(milli("lo2", "factor2")).alias("low_milli"),
         F.when(own, milli("hi", "factor")).otherwise(milli("hi2", "factor2")).alias("high_milli"),
         F.when(own, F.col("spelling")).otherwise(F.col("spelling2")).alias("spelling"),
-    ).dropDuplicates(["line_id"])
+    )

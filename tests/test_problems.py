@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from stockpot.operators.nested import flatten_columns, flatten_document, flatten_json, state, variant_tables
 from stockpot.operators.packed import explode_packed, joined_names, split_packed
-from stockpot.operators.quantities import convert_quantities, parse_line
+from stockpot.operators.quantities import NUMBERED, calibrate, convert_quantities, parse_line, statements
 from pyspark.sql import functions as F
 
 FACTORS = [("g", "g", 1.0), ("kg", "g", 1000.0), ("oz", "g", 28.4), ("ml", "ml", 1.0), ("tsp", "ml", 5.0), ("tbsp", "ml", 15.0), ("cup", "ml", 240.0), ("l", "ml", 1000.0)]
@@ -26,6 +26,8 @@ def test_amounts_in_all_places(spark):
         (None, "pinch", "salt"), (None, None, "2% milk"), (None, None, None), ("", "", ""), ("1/0", "cup", "x"), (None, None, "200 gram salsify " + "x" * 20000),
     ]
     got = _amounts(spark, rows)
+    got_a = _amounts(spark, [("a", "cup", "oil"), ("An", "cup", None), (None, None, "a cup of oil"), (None, "a cup", None)])
+    assert got_a == dict.fromkeys(range(4), ("ml", 240000, 240000))
     want = {
         0: ("ml", 360000, 360000), 1: ("ml", 22500, 22500), 2: ("ml", 5000, 5000), 3: ("g", 250000, 250000), 4: ("ml", 625, 1250), 5: ("g", 75000, 80000),
         6: ("g", 795200, 795200), 7: ("ml", 400000, 400000), 8: ("ml", 1600000, 1600000), 9: ("g", 681600, 681600), 10: ("g", 454400, 454400),
@@ -40,6 +42,58 @@ def test_pairs_tell_the_scale_of_an_unlisted_spelling(spark):
     assert got[0] == ("ml", 240000, 240000)
 
 
+def test_learned_spellings_are_read_in_texts(spark):
+    rows = [(str(n), "gobletful", f"oil ({240 * n} ml)") for n in range(1, 8)] + [(None, None, "2 gobletful oil"), (None, None, "3 thimbles oil"), ("two", "gobletfuls", "oil")]
+    got = _amounts(spark, rows)
+    assert got[7] == ("ml", 480000, 480000) and 8 not in got and 9 not in got
+
+
+def _scales(spark, rows, **how):
+    lines = spark.createDataFrame([(i, *r, None, "x") for i, r in enumerate(rows)], LINE)
+    factors = spark.createDataFrame(FACTORS, "unit string, base_unit string, factor double")
+    return {r.spelling: (r.base_unit, r.factor, r.steps, r.pairs) for r in calibrate(statements(lines), factors, **how).collect()}
+
+
+def test_links_with_an_offset_lead_nowhere(spark):
+    warm = [(str(n), "warmth", f"oil ({32 + 1.8 * n:g} ml)") for n in range(2, 60)]
+    even = [(str(n), "beaker", f"oil ({30 * n} ml)") for n in range(1, 60)]
+    got = _scales(spark, [*warm, *even, ("1", "Cups", "x")])
+    # no known conversion has 30 ml, so beaker is no unit here
+    assert "warmth" not in got and "beaker" not in got and got["Cups"] == ("ml", 240.0, 1, 0)
+
+
+def test_scales_reach_through_any_number_of_links(spark):
+    chain = [(str(n), f"unit{'abcdefg'[k]}", f"oil ({n} unit{'abcdefg'[k - 1]})" if k else f"oil ({5 * n} ml)") for k in range(7) for n in range(1, 5)]
+    lines = spark.createDataFrame([(i, None, float(q), float(q), u, None, None, None) for i, (q, u, _) in enumerate(chain)], "line_id long, at timestamp, lo double, hi double, spelling string, lo2 double, hi2 double, spelling2 string")
+    second = spark.createDataFrame([(i, float(n[5:-1].split()[0]), n[5:-1].split()[1]) for i, (_, _, n) in enumerate(chain)], "line_id long, lo2 double, spelling2 string")
+    stated = lines.select("line_id", "at", "lo", "hi", "spelling").join(second, "line_id").select("line_id", "at", "lo", "hi", "spelling", "lo2", F.col("lo2").alias("hi2"), "spelling2")
+    factors = spark.createDataFrame(FACTORS, "unit string, base_unit string, factor double")
+    got = {r.spelling: (r.factor, r.steps) for r in calibrate(stated, factors).collect()}
+    assert got == {"ml": (1.0, 0)} | {f"unit{c}": (5.0, k + 1) for k, c in enumerate("abcdefg")}
+
+
+def test_the_last_delivery_of_a_line_counts(spark):
+    at = [datetime.datetime(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(1, "1", "cup", "x", None, at[0]), (1, "2", "cup", "x", None, at[1]), (2, "1", "cup", "x", None, at[2]), (2, "9", "cup", "x", None, None), (3, "1", "cup", "x", None, at[0]), (3, "some", None, "x", None, at[1])]
+    lines = spark.createDataFrame(rows, "line_id long, quantity string, unit string, name string, preparation string, loaded_at timestamp")
+    factors = spark.createDataFrame(FACTORS, "unit string, base_unit string, factor double")
+    assert {r.line_id: r.low_milli for r in convert_quantities(lines, factors).collect()} == {1: 480000, 2: 240000}
+
+
+_PIECES = ["a", "an", "one", "Half", "quarter", "١", "½", "２", "cup", "cups", "kg", "ſix", "SIX", "to", "-", "and", " ", "\u00a0", "\t", "salt", "é", "x", "(", ")", "/", "3", "0.5", "_", "stone", "ten"]
+
+
+def test_no_text_that_the_parser_reads_is_left_in_the_scan(spark):
+    import random
+
+    draw = random.Random(7)
+    texts = ["".join(draw.choice(_PIECES) + draw.choice(["", " "]) for _ in range(draw.randint(1, 6))) for _ in range(6000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    passed = {r.i for r in rows.where(F.col("t").rlike(NUMBERED)).collect()}
+    lost = [t for i, t in enumerate(texts) if i not in passed and (parse_line(t, "cup", None) and not parse_line("", "cup", None) or parse_line(None, None, t) or parse_line(None, t, None))]
+    assert not lost and len(passed) > 1000
+
+
 def test_amounts_in_preparation(spark):
     typed = ["250 grams, softened", "2 pounds", "8 ounces", "1 pound", "8 fl oz", "2 tablespoons", "1 litre", "half a cup", "two cups, chopped", "cut in 2 cm cubes", "in half", "a pinch", None]
     lines = spark.createDataFrame([(i, None, None, "salt", p) for i, p in enumerate(typed)], "line_id long, quantity string, unit string, name string, preparation string")
