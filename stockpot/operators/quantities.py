@@ -16,8 +16,9 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpot.session import cut
@@ -101,7 +102,7 @@ def _ends(m: re.Match) -> tuple[float, float] | None:
     return lo, hi
 
 
-def _read(text: str, known: set[str]) -> tuple[float, float, str] | None:
+def _read(text: str, known: frozenset[str]) -> tuple[float, float, str] | None:
     """The first amount in a text, times the number of packages that hold it."""
     found = None
     for m in _AMOUNT.finditer(text):
@@ -119,7 +120,7 @@ def _read(text: str, known: set[str]) -> tuple[float, float, str] | None:
         times = _value(before[1]) if before else None
         if times:
             lo, hi = lo * times, hi * times
-    return lo, hi, unit
+    return lo, hi, source_of(unit)
 
 
 def fold(spelling: str) -> str:
@@ -127,7 +128,12 @@ def fold(spelling: str) -> str:
     return re.sub(r"\s+", " ", spelling.replace(".", " ").lower()).strip()
 
 
-def _read_field(quantity: str | None, unit: str | None, known: set[str]) -> tuple:
+def source_of(unit: str) -> str:
+    """The spelling that a unit as typed is: folded, but for those in which case counts."""
+    return unit if unit in CASED else fold(unit)
+
+
+def _read_field(quantity: str | None, unit: str | None, known: frozenset[str]) -> tuple:
     """The amount that quantity and unit state, the packages they count, and an amount in a spelling that is not known."""
     field = _words_to_number(_plain(f"{quantity or ''} {unit or ''}"), known)
     if not _DIGIT.search(field):
@@ -137,16 +143,16 @@ def _read_field(quantity: str | None, unit: str | None, known: set[str]) -> tupl
     if _PACK.search(field):
         return None, ((m := _COUNT.search(field)) and _ends(m)), None
     m = _AMOUNT.fullmatch(field)
-    return None, None, m and (n := _ends(m)) and (*n, re.sub(r"\s+", " ", m["unit"]))
+    return None, None, m and (n := _ends(m)) and (*n, source_of(re.sub(r"\s+", " ", m["unit"])))
 
 
-def _read_text(text: str, known: set[str]) -> tuple:
+def _read_text(text: str, known: frozenset[str]) -> tuple:
     """The amount within a text, and whether the text itself tells of packages."""
     text = _words_to_number(_plain(text), known, of_name=True)
     return (_read(text, known), bool(_PACK.search(text))) if _DIGIT.search(text) else (None, False)
 
 
-def _words_to_number(text: str, known: set[str], of_name: bool = False) -> str:
+def _words_to_number(text: str, known: frozenset[str], of_name: bool = False) -> str:
     """A text with its number words as digits, parts as fractions.
 
     In a name only those count that a unit or package follows, or a range for whole
@@ -179,11 +185,11 @@ def _combine(field: tuple, text: tuple) -> list[tuple[float, float, str]]:
     return [x for x in (first, second) if x is not None]
 
 
-KNOWN = {s for known in SPELLINGS.values() for s in known}
+KNOWN = frozenset(s for known in SPELLINGS.values() for s in known)
 LEXICON = {s: unit for unit, known in SPELLINGS.items() for s in known}
 
 
-def parse_line(quantity: str | None, unit: str | None, name: str | None, preparation: str | None = None, known: set[str] = KNOWN) -> list[tuple[float, float, str]]:
+def parse_line(quantity: str | None, unit: str | None, name: str | None, preparation: str | None = None, known: frozenset[str] = KNOWN) -> list[tuple[float, float, str]]:
     """The amounts that a line states, at most two: by quantity and unit, and within its text.
 
     A field that is null counts as empty. A line that states none gives an empty list.
@@ -194,10 +200,10 @@ def parse_line(quantity: str | None, unit: str | None, name: str | None, prepara
     return _combine(field, text)
 
 
-STATEMENT = "line_id long, at timestamp, lo double, hi double, spelling string, lo2 double, hi2 double, spelling2 string"
+STATEMENT = "line_id long, at timestamp, turn int, lo double, hi double, spelling string, lo2 double, hi2 double, spelling2 string"
 
 
-def _statements(known: set[str]):
+def _statements(known: frozenset[str], turn: int):
     def statements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the memos save time only: an answer never depends on them
         field_of, text_of = lru_cache(20_000)(lambda q, u: _read_field(q, u, known)), lru_cache(20_000)(lambda t: _read_text(t, known))
@@ -213,7 +219,7 @@ def _statements(known: set[str]):
                 found = _combine(field, text)
                 rows.append((*(found[0] if found else none), *(found[1] if len(found) > 1 else none)))
             columns = zip(*rows, strict=True) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, t) for v, t in zip(columns, types, strict=True))], ["line_id", "at", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.full(len(rows), turn, np.int32)), *(pa.array(v, t) for v, t in zip(columns, types, strict=True))], ["line_id", "at", "turn", *names])
 
     return statements
 
@@ -222,19 +228,26 @@ def _statements(known: set[str]):
 NUMBERED = rf"(?iu)[\p{{Nd}}{''.join(FRACTIONS)}]|(?<![a-z])(?:{_ANY_NUMBER}|{_ANY_PART})(?![a-z])|^[\s\p{{Z}}\x1c-\x1f\x85]*an?(?![a-z])"
 
 
-def statements(lines: DataFrame, order: str | None = "loaded_at", known: set[str] = KNOWN) -> DataFrame:
+def statements(lines: DataFrame, order: str | None = "loaded_at", learned: frozenset[str] = frozenset()) -> DataFrame:
     """One row per line (STATEMENT): the ends and spelling of the amount it states, and those of a second statement.
 
     The spelling of a line that states none is null. at: when the row was delivered, null
-    without the column order. Texts without a number never leave the scan.
+    without the column order. Texts without a number never leave the scan. learned: spellings
+    known besides the list; then only lines that hold one are read, as their turn 1.
     """
     at = F.col(order).cast("timestamp") if order and order in lines.columns else F.lit(None).cast("timestamp")
-    numbered = [F.coalesce(F.col(c).rlike(NUMBERED), F.lit(False)) for c in ("quantity", "unit", "name", "preparation")]
-    texts = [F.when(n, F.col(c)).alias(c) for n, c in zip(numbered[2:], ("name", "preparation"), strict=True)]
+    columns = ("quantity", "unit", "name", "preparation")
+    if learned:
+        holds = "(?iu)(?<![a-z])(?:" + "|".join(re.escape(x).replace(r"\ ", r"[\s\p{Z}.]+") for x in sorted(learned)) + ")"
+        lines = lines.where(F.concat_ws("\n", *columns).rlike(holds))
+    numbered = [F.coalesce(F.col(c).rlike(NUMBERED), F.lit(False)) for c in columns]
+    texts = [F.when(n, F.col(c)).alias(c) for n, c in zip(numbered[2:], columns[2:], strict=True)]
     rows = lines.select(F.col("line_id").cast("long").alias("line_id"), at.alias("at"), "quantity", "unit", *texts, (numbered[0] | numbered[1] | numbered[2] | numbered[3]).alias("_n"))
-    parsed = rows.where("_n").drop("_n").mapInArrow(_statements(known), STATEMENT)
-    blank = [F.lit(None).cast(t).alias(n) for n, t in (f.strip().split() for f in STATEMENT.split(",")[2:])]
-    return parsed.unionByName(rows.where("not _n").select("line_id", "at", *blank))
+    parsed = rows.where("_n").drop("_n").mapInArrow(_statements(KNOWN | learned, int(bool(learned))), STATEMENT)
+    if learned:
+        return parsed
+    blank = [F.lit(None).cast(t).alias(n) for n, t in (f.strip().split() for f in STATEMENT.split(",")[3:])]
+    return parsed.unionByName(rows.where("not _n").select("line_id", "at", F.lit(0).alias("turn"), *blank))
 
 
 def measured_links(stated: DataFrame, least: int = 3, near: float = 0.04) -> DataFrame:
@@ -245,7 +258,7 @@ def measured_links(stated: DataFrame, least: int = 3, near: float = 0.04) -> Dat
     least: pairs that a link needs. near: the relative distance up to which two scales are one.
     Spellings whose ratios scatter more than that, without a line that explains them, are not linked.
     """
-    both = stated.where("spelling2 is not null and lo > 0 and lo2 > 0 and lo = hi and lo2 = hi2")
+    both = stated.where("turn = 0 and spelling2 is not null and lo > 0 and lo2 > 0 and lo = hi and lo2 = hi2")
     at = "array(0.1, 0.5, 0.9), 1000)"
     links = both.groupBy("spelling", "spelling2").agg(F.expr(f"percentile_approx(lo, {at}").alias("x"), F.expr(f"percentile_approx(lo2, {at}").alias("y"), F.expr(f"percentile_approx(lo2 / lo, {at}").alias("r"), F.count("*").alias("pairs"))
     links = links.where(F.col("pairs") >= least)
@@ -257,11 +270,6 @@ def measured_links(stated: DataFrame, least: int = 3, near: float = 0.04) -> Dat
     return links.where(F.col("even") | ((F.col("scale") > 0) & fits)).select("spelling", "spelling2", "scale", "offset", "pairs")
 
 
-def _folded(spelling: str) -> Column:
-    """fold as a Column; spellings in which case counts stay."""
-    return F.when(F.col(spelling).isin(list(CASED)), F.col(spelling)).otherwise(F.trim(F.regexp_replace(F.lower(F.regexp_replace(spelling, r"\.", " ")), r"\s+", " ")))
-
-
 def calibrate(stated: DataFrame, factors: DataFrame, least: int = 3, near: float = 0.04) -> DataFrame:
     """spelling, base_unit, factor, steps, pairs: the scale of each spelling that the graph reaches.
 
@@ -275,8 +283,8 @@ def calibrate(stated: DataFrame, factors: DataFrame, least: int = 3, near: float
     known = cut(factors.where("unit is not null and factor > 0").select("unit", "base_unit", F.col("factor").cast("double").alias("factor")).dropDuplicates(["unit"]), "factors")
     measured = cut(measured_links(stated, least, near), "links")
     spellings = cut(stated.select("spelling").union(stated.select("spelling2")).where("spelling is not null").distinct(), "spellings")
-    lexicon = spark.createDataFrame(list(LEXICON.items()) + list(CASED.items()), "folded string, unit string")
-    notations = spellings.withColumn("folded", _folded("spelling")).join(F.broadcast(lexicon), "folded").select("spelling", F.col("unit").alias("spelling2"), F.lit(1.0).alias("scale"), F.lit(0).cast("long").alias("pairs"))
+    lexicon = spark.createDataFrame(list(LEXICON.items()) + list(CASED.items()), "spelling string, unit string")
+    notations = spellings.join(F.broadcast(lexicon), "spelling").select("spelling", F.col("unit").alias("spelling2"), F.lit(1.0).alias("scale"), F.lit(0).cast("long").alias("pairs"))
     straight = measured.where("offset = 0").select("spelling", "spelling2", "scale", "pairs")
     links = straight.unionByName(notations.where("spelling <> spelling2"))
     links = cut(links.unionByName(links.select(F.col("spelling2").alias("spelling"), F.col("spelling").alias("spelling2"), (1 / F.col("scale")).alias("scale"), "pairs")), "graph")
@@ -298,9 +306,9 @@ def calibrate(stated: DataFrame, factors: DataFrame, least: int = 3, near: float
     return spellings.join(reached, "spelling")
 
 
-def _learned(scales: DataFrame) -> set[str]:
+def _learned(scales: DataFrame) -> frozenset[str]:
     """Spellings that are units by measured links alone; as few as there are units that people invent and convert beside."""
-    return {fold(r.spelling) for r in scales.where("pairs > 0").select("spelling").distinct().toLocalIterator()} - KNOWN
+    return frozenset(r.spelling for r in scales.where("pairs > 0").select("spelling").toLocalIterator()) - KNOWN - CASED.keys()
 
 
 def convert_quantities(lines: DataFrame, factors: DataFrame, order: str | None = "loaded_at") -> DataFrame:
@@ -314,10 +322,10 @@ def convert_quantities(lines: DataFrame, factors: DataFrame, order: str | None =
     stated = cut(statements(lines, order), "stated")
     scales = cut(calibrate(stated, factors), "scales")
     if learned := _learned(scales):
-        # texts may hold the units that the links have told; lines without one read as before
-        stated = cut(statements(lines, order, KNOWN | learned), "stated")
+        # texts may hold the units that the links have told; lines without one stay as they are
+        stated = stated.unionByName(cut(statements(lines, order, learned), "stated"))
         scales = cut(calibrate(stated, factors), "scales")
-    last = F.max(F.struct("at", "lo", "hi", "spelling", "lo2", "hi2", "spelling2")).alias("_s")
+    last = F.max(F.struct("at", "turn", "lo", "hi", "spelling", "lo2", "hi2", "spelling2")).alias("_s")
     rows = stated.groupBy("line_id").agg(last).select("line_id", "_s.*").where("spelling is not null")
     scale = scales.select("spelling", "base_unit", "factor")
     # spellings are typed by people, so their table is broadcast by a check of its size alone
