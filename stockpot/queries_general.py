@@ -25,7 +25,7 @@ def p3_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = joined_names(table(spark, sf_dir, "ingredient_index"))
-    return explode_packed(table(spark, sf_dir, "ingredient_line"), ["line_id"], ["name", "preparation"], names)
+    return explode_packed(table(spark, sf_dir, "ingredient_line"), ["line_id"], ["name", "preparation"], names, "loaded_at")
 
 
 def p7_children(spark: SparkSession, sf_dir: str) -> DataFrame:

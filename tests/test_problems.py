@@ -132,6 +132,37 @@ def test_split_packed(spark):
     assert _split(spark, *cases) == list(cases.values())
 
 
+def test_split_within_brackets_of_any_depth(spark):
+    deep = "a (x, b (c, (d / (e and f, (g (h, i)))))), j"
+    cases = {
+        deep: ["a (x, b (c, (d / (e and f, (g (h, i))))))", "j"], "a [b, [c, [d, e]], f], g": ["a [b, [c, [d, e]], f]", "g"], "a {b {c, d}, e}; f": ["a {b {c, d}, e}", "f"],
+        "a (b (c (d (e, f": ["a (b (c (d (e", "f"], "a (b, c) (d, e) (f, g) (h, i), j": ["a (b, c) (d, e) (f, g) (h, i)", "j"], "a) b, (c": ["a) b", "(c"], "(" * 12 + "a, b" + ")" * 12 + " and c": ["(" * 12 + "a, b" + ")" * 12, "c"],
+    }
+    assert _split(spark, *cases) == list(cases.values())
+
+
+def test_split_of_very_long_texts(spark):
+    long = "a" * 300_000
+    cases = {f"({long}, b), c": [f"({long}, b)", "c"], f'"{long}, b", c': [f"{long}, b", "c"], f"{long} and b": [long, "b"], "(x, y) " * 5_000 + ", z": [("(x, y) " * 5_000).strip(), "z"]}
+    assert _split(spark, *cases) == list(cases.values())
+
+
+def test_split_keeps_mistyped_names_and_odd_characters(spark):
+    cases = {
+        "macroni and cheese mox": ["macroni and cheese mox"], "  hslf and haf": ["hslf and haf"], "salt, hslf  and haf and egg": ["salt", "hslf  and haf", "egg"], "rice and cheese": ["rice", "cheese"], "half and egg": ["half", "egg"],
+        "bread and butter pickle, x": ["bread and butter pickle", "x"], "bread and butter": ["bread", "butter"], "a\ufdd0b, \ufdd3c\ufdd1, \"d, \ufdd0\"": ["a\ufdd0b", "\ufdd3c\ufdd1", "d, \ufdd0"], "a\ue000, b": ["a\ue000", "b"],
+    }
+    assert _split(spark, *cases) == list(cases.values())
+    other = spark.createDataFrame([("sal y agua e hielo",), ("соль и вода",)], "t string").select(split_packed(F.col("t"), [], ("y", "e", "и")))
+    assert [r[0] for r in other.collect()] == [["sal", "agua", "hielo"], ["соль", "вода"]]
+
+
+def test_the_last_delivery_of_a_packed_field_counts(spark):
+    rows = [(1, "a, b", 1), (1, "c, d, e", 2), (2, "a, b", 1), (2, "a", 2), (3, "a, b", None), (3, "x; y", 1), (4, "a, b", 1), (4, None, 2)]
+    lines = spark.createDataFrame(rows, "line_id long, name string, at int")
+    assert {(r.line_id, r.item) for r in explode_packed(lines, ["line_id"], ["name"], [], "at").collect()} == {(1, "c"), (1, "d"), (1, "e"), (3, "x"), (3, "y")}
+
+
 def test_packed_fields(spark):
     now = datetime.datetime(2024, 1, 1)
     rows = [(1, "a, b", None, now), (1, "a, b", None, now), (2, None, "x;y", now), (3, "solo", "solo", now), (4, "palm hearts, 2 packs of 8-oz each", None, now), (5, None, None, now), (6, ",".join("v%d" % i for i in range(3000)), "", now)]
