@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockpot.functions.text import let
+
 # Punctuation and the joining word that part values.
 MARKS = ",;/|&+•·\n\r\t"
 JOINING = ("and",)
@@ -110,7 +112,8 @@ def split_packed(text: Column, names: list[str] | None = None, joining: tuple[st
         return F.array(F.replace(F.substr(piece, F.lit(2)), F.concat(q, q), q))
 
     def plain(piece: Column) -> Column:
-        edges = F.regexp_replace(_mistyped(_hidden(piece, word), cores, word), rf"(?i)({kept})|({delimiter})", f"$1{EDGE}$2")
+        known = let(_hidden(piece, word), lambda p: _mistyped(p, cores, word))
+        edges = F.regexp_replace(known, rf"(?i)({kept})|({delimiter})", f"$1{EDGE}$2")
         parts = F.split(edges, rf"(?i){EDGE}{delimiter}")
         shown = F.transform(parts, lambda p: F.regexp_replace(p, f"[{EDGE}{WITHIN}]", ""))
         return F.when(piece.rlike(_DEEP), F.transform(shown, lambda p: F.translate(p, HIDDEN, MARKS + BRACKETS))).otherwise(shown)
@@ -120,7 +123,7 @@ def split_packed(text: Column, names: list[str] | None = None, joining: tuple[st
         body = rf"{_OPEN}{q}((?:[^{q}{QUOTE}]++|{q}{q})*+){q}{close}"
         marked = F.regexp_replace(marked, body, f"{QUOTE}{q}$1{QUOTE}")
     values = F.flatten(F.transform(F.split(marked, QUOTE), lambda p, i: F.when(i % 2 == 1, literal(p)).otherwise(plain(p))))
-    values = F.transform(values, lambda v: _unescaped(F.regexp_replace(v, r"(?U)^\s+|\s+$", "")))
+    values = F.transform(values, lambda v: let(F.regexp_replace(v, r"(?U)^\s+|\s+$", ""), _unescaped))
     return F.filter(values, lambda v: v != "")
 
 
