@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpot.operators.nested import flatten_columns, flatten_json
+from stockpot.operators.nested import common_rows, flatten_columns, flatten_json, variant_tables
 from stockpot.operators.packed import explode_packed, joined_names
 from stockpot.operators.quantities import calibrate, convert_quantities, statements
 from stockpot.session import cut, table
@@ -28,25 +28,30 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_packed(table(spark, sf_dir, "ingredient_line"), ["line_id"], ["name", "preparation"], names, "loaded_at")
 
 
-def p7_children(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_columns(table(spark, sf_dir, "recipe_doc")).unionByName(flatten_json(table(spark, sf_dir, "recipe_raw")))
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return variant_tables(flatten_columns(table(spark, sf_dir, "recipe_doc")).unionByName(flatten_json(table(spark, sf_dir, "recipe_raw"))))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p7_children(spark, sf_dir).select("rec_no", "child_kind", "section_no", "child_no")
+    return common_rows(_tables(spark, sf_dir)).select("rec_no", "child_kind", "section_no", "child_no")
+
+
+def p7_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed table of ingredients stored as objects."""
+    return _tables(spark, sf_dir)["ingredient_object"]
 
 
 def p7_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The children of the typed nested columns alone, which SQL can check."""
-    return flatten_columns(table(spark, sf_dir, "recipe_doc")).select("rec_no", "child_kind", "child_no", "name")
+    """The children of the typed nested columns alone."""
+    return flatten_columns(table(spark, sf_dir, "recipe_doc")).select("rec_no", "child_kind", "child_no", F.coalesce("name", "text").alias("name"), "position")
 
 
 def p7_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many children each structural variant holds."""
-    return p7_children(spark, sf_dir).groupBy("child_kind", "variant").agg(F.count("*").alias("n"), F.countDistinct("rec_no").alias("documents"))
+    """How many children each subtype, structural variant and shape holds, and in how many documents."""
+    return common_rows(_tables(spark, sf_dir)).groupBy("subtype", "variant", "shape").agg(F.count("*").alias("n"), F.countDistinct("rec_no").alias("documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_scales": p3_scales, "p6_found": p6_found, "p7_found": p7_found, "p7_children": p7_children, "p7_columns": p7_columns, "p7_variants": p7_variants}
-_KIND = "SELECT rec_no, '{kind}' AS child_kind, row_number() OVER (PARTITION BY rec_no ORDER BY i) AS child_no, x.{field} AS name FROM (SELECT rec_no, generate_subscripts({array}, 1) AS i, unnest({array}) AS x FROM recipe_doc) WHERE x IS NOT NULL"
-_KINDS = (("ingredient", "ingredients", "name"), ("instruction", "instructions", "text"), ("category", "categories", "name"), ("tag", "tags", "name"))
-SQL: dict[str, str] = {"p7_columns": " UNION ALL ".join(_KIND.format(kind=k, array=a, field=f) for k, a, f in _KINDS)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_scales": p3_scales, "p6_found": p6_found, "p7_found": p7_found, "p7_ingredients": p7_ingredients, "p7_columns": p7_columns, "p7_variants": p7_variants}
+_KIND = "SELECT rec_no, '{kind}' AS child_kind, row_number() OVER (PARTITION BY rec_no ORDER BY i) AS child_no, x.{field} AS name, {place} AS position FROM (SELECT rec_no, generate_subscripts({array}, 1) AS i, unnest({array}) AS x FROM recipe_doc) WHERE x IS NOT NULL"
+_KINDS = (("ingredient", "ingredients", "name", "x.pos"), ("instruction", "instructions", "text", "x.pos"), ("category", "categories", "name", "NULL"), ("tag", "tags", "name", "NULL"))
+SQL: dict[str, str] = {"p7_columns": " UNION ALL ".join(_KIND.format(kind=k, array=a, field=f, place=p) for k, a, f, p in _KINDS)}

@@ -32,15 +32,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Writes ``df`` once to the shared folder and reads it back.
+def cut(df: DataFrame, name: str = "cut", by: str | None = None) -> DataFrame:
+    """Writes ``df`` once to the shared folder, parted into folders by a column if one is named, and reads it back.
 
     Lineage ends at the written files, so an executor that is lost later costs a
     re-read, never a recomputation, and several consumers share one computation.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

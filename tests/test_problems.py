@@ -3,7 +3,7 @@ import json
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from stockpot.operators.nested import flatten_columns, flatten_document, flatten_json, state, variant_tables
+from stockpot.operators.nested import common_rows, flatten_columns, flatten_document, flatten_json, state, variant_tables
 from stockpot.operators.packed import explode_packed, joined_names, split_packed
 from stockpot.operators.quantities import NUMBERED, calibrate, convert_quantities, parse_line, statements
 from pyspark.sql import functions as F
@@ -176,7 +176,7 @@ def test_packed_fields(spark):
 
 
 def _rows(document):
-    return [(k, s, n, name) for k, s, n, _, _, name, _ in flatten_document(document)]
+    return [(k, s, n, f.get("name") or f.get("text")) for k, s, n, _, _, _, _, f, _ in flatten_document(document)]
 
 
 def test_shapes_of_nested_documents():
@@ -196,14 +196,26 @@ def test_shapes_of_nested_documents():
 
 
 def test_nested_tables(spark):
-    bodies = [(1, json.dumps({"tags": ["a", {"slug": "b", "name": "B", "color": None}]})), (2, '{"tags": ["a"'), (3, None), (4, ""), (5, "[]"), (6, json.dumps({"tags": "solo"}))]
+    deep = lambda n: '{"tags": ' + "[" * n + '"x"' + "]" * n + "}"
+    bodies = [
+        (1, json.dumps({"tags": ["a", {"slug": "b", "name": "B", "color": None, "weight": [1]}]})), (2, '{"tags": ["a"'), (3, None), (4, ""), (5, "[]"), (6, json.dumps({"tags": "solo"})), (7, json.dumps({"tags": {"²": "q"}})),
+        (8, deep(5_000)), (9, deep(100_000)), (10, json.dumps({"ingredients": [{"name": 5, "position": "7"}, {"pos": 2, "position": 3}, {"position": "x"}, 4, True]})), (11, json.dumps({"tags": {"١": "z", "2": "y"}})),
+    ]
     rows = flatten_json(spark.createDataFrame(bodies, "rec_no long, body string"))
-    assert [(r.rec_no, r.child_no, r.name) for r in rows.orderBy("rec_no", "child_no").collect()] == [(1, 1, "a"), (1, 2, "B"), (6, 1, "solo")]
     tables = variant_tables(rows)
-    assert [(r.slug, r.color) for r in tables["tag"].collect()] == [("b", None)] and tables["text"].count() == 2
+    assert {(r.rec_no, r.child_no, r.text) for r in tables["tag_text"].collect()} == {(1, 1, "a"), (6, 1, "solo"), (8, 1, "x"), (11, 1, "z"), (11, 2, "y")}
+    tags = {r.rec_no: r for r in tables["tag_object"].collect()}
+    assert (tags[1].slug, tags[1].color, tags[1].extra, tags[1].shape) == ("b", None, {"weight": "[1]"}, "object{color,name,slug,weight}") and tags[7].extra == {"²": '"q"'}
+    ingredients = {r.child_no: r for r in tables["ingredient_object"].collect()}
+    assert (ingredients[1].name, ingredients[1].position) == ("5", 7) and ingredients[2].position == 2 and ingredients[2].extra == {"position": "3"} and ingredients[3].extra == {"position": '"x"'}
+    assert {(r.child_no, r.text, r.shape) for r in tables["ingredient_text"].collect()} == {(4, "4", "scalar"), (5, "true", "scalar")}
+    assert common_rows(tables).count() == rows.count() == 12
+    assert common_rows(variant_tables(rows.limit(0))).count() == 0
 
 
 def test_nested_columns(spark):
-    kind = "rec_no long, ingredients array<struct<name:string>>, instructions array<struct<text:string>>, categories array<struct<name:string>>, tags array<struct<name:string>>, child_no int"
-    docs = spark.createDataFrame([(1, [("a",), None, ("b",)], None, [], [("t",)], 7), (2, None, None, None, None, 7)], kind)
-    assert {(r.rec_no, r.child_kind, r.child_no, r.name) for r in flatten_columns(docs).collect()} == {(1, "ingredient", 1, "a"), (1, "ingredient", 2, "b"), (1, "tag", 1, "t")}
+    kind = "rec_no long, ingredients array<struct<name:string,pos:int,heat:int>>, instructions array<struct<text:string>>, categories array<struct<name:string>>, tags array<struct<name:string>>, child_no int"
+    docs = spark.createDataFrame([(1, [("a", 3, 1), None, ("b", None, None)], None, [], [("t",)], 7), (2, None, None, None, None, 7)], kind)
+    rows = flatten_columns(docs)
+    assert {(r.rec_no, r.child_kind, r.child_no, r.name, r.position) for r in rows.collect()} == {(1, "ingredient", 1, "a", 3), (1, "ingredient", 2, "b", None), (1, "tag", 1, "t", None)}
+    assert [r.extra for r in variant_tables(rows)["ingredient_object"].orderBy("child_no").collect()] == [{"heat": "1"}, {"heat": None}]
