@@ -2,12 +2,14 @@
 
 Method. Normalisation quick-check: almost all of a text is stable, that is, made of
 starters that no step changes and no accent follows. Only the segments around unstable
-characters, with the starter before them as boundary context, are decomposed, mapped and
-composed again; they are spliced into the unchanged text.
+characters, with the word or the starter they touch as boundary context, are decomposed, mapped
+and composed again; they are spliced into the unchanged text. Look-alike letters become
+Latin, but in a word with a letter that only another script has they become that script's.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -18,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockpot.session import cut
+
 # Letters of other scripts and the Latin letter they look like.
 LOOKALIKES = {
     "А": "A", "В": "B", "Е": "E", "З": "3", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X", "У": "Y", "Ѕ": "S", "І": "I", "Ј": "J", "Ү": "Y", "Ԁ": "D", "Ԛ": "Q", "Ԝ": "W", "Ԍ": "G", "Ӏ": "I",
@@ -73,12 +77,35 @@ def _ranges(codes: list[int]) -> str:
     return "".join(out)
 
 
+#: A letter of a script with look-alikes, and a word that holds one.
+_OTHER = re.compile("[\u0370-\u03ff\u0400-\u052f]")
+_WORD = re.compile("(?:[^\\W\\d_][\u0300-\u036f]*)+")
+#: Latin letters as the basic letters of the other scripts that look like them.
+_BACK = {
+    "greek": {ord(to): char for char, to in LOOKALIKES.items() if "\u0391" <= char <= "\u03c9"},
+    "cyrillic": {ord(to): char for char, to in LOOKALIKES.items() if "\u0410" <= char <= "\u044f" or char in "ІЈЅіјѕ"},
+}
+
+
+def _by_script(word: re.Match) -> str:
+    """A word in the script of its first letter that is not Latin, where it has one; it depends on what is seen alone."""
+    other = _OTHER.search(word[0])
+    return word[0].translate(_BACK["greek" if other[0] < "\u0400" else "cyrillic"]) if other else word[0]
+
+
 @lru_cache(50_000)
 def _segment(text: str) -> str:
     change = _tables()[0]
     mapped = unicodedata.normalize("NFD", text).translate(change)
     mapped = unicodedata.normalize("NFD", mapped).translate(change)
-    return unicodedata.normalize("NFC", mapped)
+    return unicodedata.normalize("NFC", _WORD.sub(_by_script, mapped) if _OTHER.search(mapped) else mapped)
+
+
+_UNSEEN = frozenset(INVISIBLE)
+
+
+def _in_word(char: str) -> bool:
+    return char.isalnum() and not char.isdecimal() or "\u0300" <= char <= "\u036f" or char in _UNSEEN
 
 
 def canonical(text: str) -> str:
@@ -91,8 +118,18 @@ def canonical(text: str) -> str:
     # two UTF-16 units stand for a character beyond the first plane
     beyond = len(text.encode("utf-16-le", "surrogatepass")) > 2 * len(text)
     for run in (any_plane if beyond else first_plane).finditer(text):
-        # the character before a run may compose with it
-        start, end = max(done, run.start() - 1), run.end()
+        if run.end() <= done:
+            continue
+        # the character before a run may compose with it, and a word is one segment
+        at, end = max(done, run.start()), run.end()
+        start = max(done, at - 1)
+        if _in_word(text[at]):
+            while at > done and _in_word(text[at - 1]):
+                at -= 1
+            start = min(start, at)
+        if _in_word(text[end - 1]):
+            while end < len(text) and _in_word(text[end]):
+                end += 1
         segment = text[start:end]
         parts += text[done:start], _segment(segment) if len(segment) <= 32 else _segment.__wrapped__(segment)
         done = end
@@ -118,17 +155,45 @@ def canonical_texts(df: DataFrame, keys: list[str], text: str = "text") -> DataF
     return plain.unionByName(kept.where(F.col("text").rlike(odd)).mapInArrow(_canonical, schema))
 
 
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    digest = lambda text: hashlib.sha256(text.encode()).digest()
+    for batch in batches:
+        texts = batch.column(batch.num_columns - 1).to_pylist()
+        stored, form = [], []
+        for text in texts:
+            stored.append(digest(text))
+            form.append(stored[-1] if (own := canonical(text)) == text else digest(own))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(stored, pa.binary()), pa.array(form, pa.binary())], [*batch.schema.names[:-1], "stored", "form"])
+
+
+def forms(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, stored, form: digests of each text as stored and in its consistent form, made in one pass and written once.
+
+    Rows with a null key or text are dropped; rows that repeat a key and text count once.
+    """
+    kept = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
+    return cut(kept.mapInArrow(_digest, f"id {dict(kept.dtypes)['id']}, stored binary, form binary"), "forms")
+
+
 def lookalike_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_a < doc_b: documents whose consistent forms are equal though their stored texts differ.
 
-    Only 32-byte digests are shuffled. Rows with a null text or key have no pairs; rows that
-    repeat a key and text count once; copies that are equal as stored are no pairs.
+    Only digests of 32 bytes are shuffled. Rows with a null text or key have no pairs; rows that
+    repeat a key and text count once; copies that are equal as stored are no pairs. n documents
+    of one form give up to n (n - 1) / 2 rows; lookalike_classes says the same in n.
     """
-    kept = df.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("id"), F.unhex(F.sha2(text, 256)).alias("stored"), F.col(text).alias("text"))
-    forms = canonical_texts(kept, ["id", "stored"]).select("id", "stored", F.unhex(F.sha2("text", 256)).alias("form"))
+    known = forms(df, key, text)
     # a form met with one stored text only has no pairs; those with several are few
-    several = forms.groupBy("form").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).where("lo <> hi").select("form")
-    members = forms.join(several, "form", "left_semi").distinct()
+    several = known.groupBy("form").agg(F.min("stored").alias("lo"), F.max("stored").alias("hi")).where("lo <> hi").select("form")
+    members = known.join(several, "form", "left_semi").distinct()
     a = members.select("form", F.col("id").alias("doc_a"), F.col("stored").alias("stored_a"))
     b = members.select("form", F.col("id").alias("doc_b"), F.col("stored").alias("stored_b"))
     return a.join(b, "form").where("doc_a < doc_b and stored_a <> stored_b").select("doc_a", "doc_b").distinct()
+
+
+def lookalike_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, class_key, spellings: the class of equal forms of each document, known by its smallest key, and how many stored texts it has."""
+    known = forms(df, key, text).distinct()
+    # spellings are counted before documents meet, so a form that very many share is no hot key
+    counts = known.groupBy("form", "stored").agg(F.min("id").alias("id")).groupBy("form").agg(F.min("id").alias("class_key"), F.count("*").alias("spellings"))
+    return known.join(counts, "form").select(F.col("id").alias("key"), "class_key", "spellings")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpot.llm.canonical_list import map_lines
-from stockpot.llm.canonical_text import canonical, canonical_texts, lookalike_pairs
+from stockpot.llm.canonical_text import canonical, canonical_texts, lookalike_classes, lookalike_pairs
 from stockpot.llm.cooccurrence import cooccurrence
 from stockpot.llm.current import current_rows
 from stockpot.llm.mixing import mix, shares
@@ -105,11 +105,15 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_pairs(table(spark, sf_dir, "documents"))
 
 
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike_classes(table(spark, sf_dir, "documents"))
+
+
 def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_texts(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p4_found": p4_found, "p5_found": p5_found, "p5_recipes": p5_recipes, "p5_recipe_classes": p5_recipe_classes, "p5_document_classes": p5_document_classes, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_texts": p10_texts}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p2_found": p2_found, "p2_terms": p2_terms, "p4_found": p4_found, "p5_found": p5_found, "p5_recipes": p5_recipes, "p5_recipe_classes": p5_recipe_classes, "p5_document_classes": p5_document_classes, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_classes": p10_classes, "p10_texts": p10_texts}
 
 _BASKETS = """
 WITH cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1),

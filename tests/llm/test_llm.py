@@ -264,11 +264,20 @@ def test_mixture(spark):
 def _whole(text):
     change = T._tables()[0]
     text = unicodedata.normalize("NFD", T.LINE_ENDS.sub("\n", text)).translate(change)
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(change))
+    text = unicodedata.normalize("NFD", text).translate(change)
+    return unicodedata.normalize("NFC", T._WORD.sub(T._by_script, text))
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.sampled_from("aeoAZ ȩ́́̀​­сеоАВÑñ 　ａＺ１ﬁ‑-\n\r\tёйї가각각½²…0O1l"), max_size=40))
+def test_words_keep_their_script():
+    same = ["Москва суп", "ещё один ёжик", "мій борщ", "σούπα ΣΟΥΠΑ", "Coffee и чай"]
+    assert [T.canonical(t) for t in same] == same
+    mixed = [("Mocквa", "Москва"), ("cуп", "суп"), ("су\u200bп", "суп"), ("cу\u200bп", "суп"), ("е\u0308ж", "ёж"), ("жea", "жеа"), ("жеa\u0301", "же\u0430\u0301"), ("ab\u200bж", "аbж")]
+    assert [T.canonical(a) for a, _ in mixed] == [T.canonical(b) for _, b in mixed]
+    assert T.canonical("сосоа") == T.canonical("cocoa") == "cocoa" and T.canonical("ко") != T.canonical("kо")
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aeoAZжσЖ_ ȩ́́̀​­сеоАВÑñ 　ａＺ１ﬁ‑-\n\r\tёйї가각각½²…0O1l"), max_size=40))
 def test_segments_equal_the_whole_text(text):
     assert T.canonical(text) == _whole(text) == T.canonical(T.canonical(text))
 
@@ -285,6 +294,8 @@ def test_lookalike_pairs(spark):
     docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, form string")
     assert {tuple(r) for r in T.lookalike_pairs(docs).collect()} == {(1, 2), (1, 4), (2, 3), (2, 4), (3, 4), (7, 8), (9, 10)}
     assert T.lookalike_pairs(docs.limit(0)).count() == 0
+    classes = {r.key: (r.class_key, r.spellings) for r in T.lookalike_classes(docs).collect()}
+    assert classes == dict.fromkeys((1, 2, 3, 4), (1, 3)) | {5: (5, 1), 7: (7, 2), 8: (7, 2), 9: (9, 2), 10: (9, 2)}
 
 
 def test_many_similar_classes_are_joined_by_a_shuffle(spark):
