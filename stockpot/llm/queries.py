@@ -36,7 +36,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, summary = table(spark, sf_dir, "ingredient_line"), table(spark, sf_dir, "recipe_summary")
     names = lines.select(F.lit("normalized_name").alias("field_name"), F.col("normalized_name").alias("term"), F.col("recipe_id").alias("record"))
-    tags = current_rows(summary, "id", "tag_slugs").select(F.lit("tag_slugs").alias("field_name"), F.explode("tag_slugs").alias("term"), F.col("id").alias("record"))
+    tags = cut(current_rows(summary, "id", "tag_slugs"), "tags").select(F.lit("tag_slugs").alias("field_name"), F.explode("tag_slugs").alias("term"), F.col("id").alias("record"))
     total = summary.select("recipe_no").distinct().count()
     return term_frequency(names.unionByName(tags)).withColumn("mark", mark(F.col("records"), total))
 

@@ -1,9 +1,11 @@
 """Problem 2: frequency of every distinct value, and in how many records it occurs.
 
 Method. Heavy-light aggregation: a bounded sketch of each partition finds the terms that
-may hold a large share of the rows; they are broadcast and travel as small integers that
-are counted in local arrays, only the other terms are shuffled as text, and the two
-tables are united. Counts are exact whichever way a term goes.
+may hold a large share of the rows; they are broadcast and their rows are counted in local
+arrays where they lie. Only the rows of the other terms are shuffled, and the two tables are
+united. That a record holds a heavy term in several partitions only the record can tell: of
+heavy terms a partition sends one row a record, the set of their small codes, and the tasks
+that gather these sets count in local arrays too. Counts are exact whichever way a term goes.
 """
 
 from __future__ import annotations
@@ -13,9 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockpot.session import cut
+
 _UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
@@ -54,43 +59,96 @@ def heavy_terms(long: DataFrame, share: float = 0.002) -> list[tuple[str, str]]:
     return [(r.field_name, r.term) for r in found.collect()]
 
 
-def _local_counts(heavy: int):
-    names, types = ["code", "field_name", "term", "occurrences", "records"], [pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+#: Rows whose records are gathered before they are sent on.
+GATHERED = 400_000
+PART = "record binary, codes binary, code int, n long"
+
+
+def _code_sets(heavy: int):
+    """From (code, record) rows: the set of codes of each record of some rows, and at last the occurrences of each code."""
+    names = ["record", "codes", "code", "n"]
 
-    def local_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        occurrences, records = np.zeros(heavy, np.int64), np.zeros(heavy, np.int64)
+    def sets(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches)
+        coded = table.column(1).combine_chunks().dictionary_encode()
+        pair = np.unique(coded.indices.to_numpy().astype(np.int64) * heavy + table.column(0).to_numpy())
+        record, code = pair // heavy, (pair % heavy).astype("<u2")
+        starts = np.flatnonzero(np.concatenate(([True], record[1:] != record[:-1])))
+        offsets = pa.py_buffer(np.concatenate((starts, [len(code)])).astype(np.int32) * 2)
+        packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(code)])
+        none = len(starts)
+        return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(record[starts])), packed, pa.nulls(none, pa.int32()), pa.nulls(none, pa.int64())], names)
+
+    def code_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        occurrences = np.zeros(heavy, np.int64)
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            occurrences += np.bincount(batch.column(0).to_numpy(), minlength=heavy)
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= GATHERED:
+                yield sets(held)
+                held = []
+        if held:
+            yield sets(held)
+        some = np.flatnonzero(occurrences)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.binary()), pa.nulls(len(some), pa.binary()), pa.array(some, pa.int32()), pa.array(occurrences[some])], names)
+
+    return code_sets
+
+
+def _count_records(heavy: int):
+    """code, n: in how many records each code is, from rows sorted by record."""
+
+    def count_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        records = np.zeros(heavy, np.int64)
+        last, met = None, np.zeros(0, np.int64)
         for batch in batches:
-            code, n = batch.column(0), batch.column(3).to_numpy()
-            is_heavy = code.is_valid().to_numpy(zero_copy_only=False)
-            own = code.drop_null().to_numpy()
-            records += np.bincount(own, minlength=heavy)
-            occurrences += np.bincount(own, weights=n[is_heavy], minlength=heavy).astype(np.int64)
-            light = batch.filter(pa.array(~is_heavy))
-            if light.num_rows:
-                yield pa.RecordBatch.from_arrays([light.column(0), light.column(1), light.column(2), light.column(3), pa.array(np.ones(light.num_rows, np.int64))], names)
+            if not batch.num_rows:
+                continue
+            record, codes = batch.column(0), batch.column(1)
+            same = pc.equal(record[1:], record[:-1]).to_numpy(zero_copy_only=False)
+            run = np.concatenate(([0], np.cumsum(~same)))
+            sizes = pc.binary_length(codes).to_numpy() // 2
+            flat = np.frombuffer(b"".join(codes.to_pylist()), "<u2").astype(np.int64)
+            pair = np.unique(np.repeat(run, sizes) * heavy + flat)
+            # the first record may be the last of the batch before
+            if last is not None and record[0].as_py() == last:
+                pair = pair[~((pair < heavy) & np.isin(pair, met))]
+                met = np.concatenate((met, pair[pair < heavy])) if run[-1] == 0 else pair[pair >= run[-1] * heavy] % heavy
+            else:
+                met = pair[pair >= run[-1] * heavy] % heavy
+            last = record[-1].as_py()
+            records += np.bincount(pair % heavy, minlength=heavy)
         some = np.flatnonzero(records)
-        none = pa.nulls(len(some), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), none, none, pa.array(occurrences[some]), pa.array(records[some])], names)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(records[some])], ["code", "n"])
 
-    return local_counts
+    return count_records
 
 
 def term_frequency(long: DataFrame, share: float = 0.002) -> DataFrame:
     """field_name, term, occurrences, records: exact counts of rows and of distinct records per term.
 
     long: field_name, term, record; rows with a null term or record are no occurrences. Terms
-    are compared as stored, the empty text being one. The pairs of term and record are made
-    distinct by both together, so neither a hot term nor a hot record is one task's load.
+    are compared as stored, the empty text being one. share: of the rows that a heavy term
+    holds, 2^-15 at least. The pairs of other terms and records are made distinct by both
+    together, so neither a hot term nor a hot record is one task's load.
     """
+    if share < 2**-15:
+        raise ValueError("codes of heavy terms have 16 bits")
     long = long.where("term is not null and record is not null").select("field_name", "term", "record")
     heavy = heavy_terms(long, share)
     codes = F.broadcast(long.sparkSession.createDataFrame([(f, t, i) for i, (f, t) in enumerate(heavy)], "field_name string, term string, code int"))
-    coded = long.join(codes, ["field_name", "term"], "left").select("code", F.when(F.col("code").isNull(), F.col("field_name")).alias("field_name"), F.when(F.col("code").isNull(), F.col("term")).alias("term"), compact(F.col("record")).alias("record"))
-    pairs = coded.groupBy("code", "field_name", "term", "record").agg(F.count("*").alias("n")).select("code", "field_name", "term", "n")
-    counted = pairs.mapInArrow(_local_counts(len(heavy)), "code int, field_name string, term string, occurrences long, records long")
-    summed = counted.groupBy("code", "field_name", "term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
-    names = codes.select("code", F.col("field_name").alias("_f"), F.col("term").alias("_t"))
-    return summed.join(names, "code", "left").select(F.coalesce("field_name", "_f").alias("field_name"), F.coalesce("term", "_t").alias("term"), "occurrences", "records")
+    coded = long.join(codes, ["field_name", "term"], "left").select("code", "field_name", "term", compact(F.col("record")).alias("record"))
+    light = coded.where("code is null").groupBy("field_name", "term", "record").agg(F.count("*").alias("n")).groupBy("field_name", "term").agg(F.sum("n").alias("occurrences"), F.count("*").alias("records"))
+    if not heavy:
+        return light
+    parts = cut(coded.where("code is not null").select("code", "record").mapInArrow(_code_sets(len(heavy)), PART), "heavy")
+    occurrences = parts.where("code is not null").groupBy("code").agg(F.sum("n").alias("occurrences"))
+    by_record = parts.where("record is not null").select("record", "codes").repartition("record").sortWithinPartitions("record")
+    records = by_record.mapInArrow(_count_records(len(heavy)), "code int, n long").groupBy("code").agg(F.sum("n").alias("records"))
+    return light.unionByName(codes.join(occurrences, "code").join(records, "code").select("field_name", "term", "occurrences", "records"))
 
 
 def mark(records: Column, total: int, rare_below: int = 5, common_above: float = 0.1) -> Column:

@@ -66,6 +66,8 @@ def test_pairs_of_few_recipes_come_out(spark, tmp_path):
 
 
 def test_term_frequency(spark):
+    import stockpot.llm.terms as M
+
     rng = np.random.default_rng(3)
     rows = [("f", f"t{int(t)}" if t < 40 else "", f"r{int(r)}") for t, r in zip(rng.zipf(1.3, 3000) % 50, rng.integers(0, 60, 3000), strict=True)]
     rows += [("f", "hot", "00000000-0000-5000-8000-000000000000")] * 1500 + [("f", None, "r1"), ("f", "x", None), ("g", "hot", "r1"), ("f", "long" * 5000, "r1")]
@@ -75,6 +77,15 @@ def test_term_frequency(spark):
     n, d = Counter(r[:2] for r in kept), Counter(r[:2] for r in set(kept))
     assert got == {k: (n[k], d[k]) for k in n}
     assert term_frequency(long.limit(0)).count() == 0
+    # records that many batches and partitions hold in parts
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    before, M.GATHERED = M.GATHERED, 20
+    try:
+        parted = {(r.field_name, r.term): (r.occurrences, r.records) for r in term_frequency(long.repartition(5), share=0.01).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        M.GATHERED = before
+    assert parted == got
     marks = spark.createDataFrame([(4,), (5,), (10,), (11,)], "n long").select(mark(F.col("n"), 100)).collect()
     assert [r[0] for r in marks] == ["rare", None, None, "common"]
 
