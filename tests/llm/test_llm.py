@@ -249,7 +249,9 @@ def test_quotas_and_splitting():
     assert abs(q["a"] / sum(q.values()) - 0.625) < 0.01 and q["b"] <= 400
     assert quotas({}, targets) == {}
     counts = np.array([100, 7, 0, 55])
-    parts = split_quotas(counts, 7, np.random.Generator(np.random.PCG64(1)))
+    parts = split_quotas(counts, np.ones(7, np.int64), np.random.Generator(np.random.PCG64(1)))
+    wide = split_quotas(counts, np.array([3, 1, 2]), np.random.Generator(np.random.PCG64(1)))
+    assert (wide.sum(axis=0) == counts).all() and wide.sum(axis=1).tolist() == [81, 27, 54]
     assert (parts.sum(axis=0) == counts).all() and parts.shape == (7, 4) and parts.sum(axis=1).max() - parts.sum(axis=1).min() <= 1
 
 
@@ -258,7 +260,7 @@ def test_mixture(spark):
     rows = [(i, s, int(rng.integers(1, 300))) for i, s in enumerate(["big"] * 2000 + ["mid"] * 500 + ["tiny"] * 60 + ["other"] * 50)]
     items = spark.createDataFrame([*rows, (90000, None, 5), (90001, "big", None), (90002, "big", 0)], "doc_id long, source string, n_tokens long")
     targets = spark.createDataFrame([("big", 0.6, 1), ("mid", 0.2, 2), ("tiny", 0.1, 3), ("absent", 0.1, 4)], "source string, target_share double, max_repeat int")
-    mixture = mix(items, targets, shards=5, blocks=32)
+    mixture = mix(items, targets, shards=5)
     got = mixture.collect()
     uses = Counter(r.doc_id for r in got)
     limit = {"big": 1, "mid": 2, "tiny": 3}
@@ -268,10 +270,28 @@ def test_mixture(spark):
     for source, share in (("big", 0.6), ("mid", 0.2), ("tiny", 0.1)):
         assert abs(report[source].actual_share - share / 0.9) < 0.01
     assert report["absent"].used == 0 and sum(r.actual_share for r in report.values()) == pytest.approx(1)
-    assert sorted(map(tuple, mix(items, targets, shards=5, blocks=32).collect())) == sorted(map(tuple, got))
+    assert sorted(map(tuple, mix(items, targets, shards=5).collect())) == sorted(map(tuple, got))
     assert mix(items.limit(0), targets).count() == 0
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 10**6])
+def test_more_shards_than_the_driver_plans(spark, broadcast_rows):
+    # one source has most of the rows, another far more than it may give
+    rng = np.random.default_rng(4)
+    rows = [(i, s, int(rng.integers(1, 60))) for i, s in enumerate(["big"] * 14000 + ["mid"] * 5000 + ["spare"] * 9000 + ["tiny"] * 40)]
+    items = spark.createDataFrame(rows, "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([("big", 0.7, 1), ("mid", 0.24, 1), ("spare", 0.05, 3), ("tiny", 0.01, 7)], "source string, target_share double, max_repeat int")
+    got = mix(items, targets, shards=300, planned=1_000, broadcast_rows=broadcast_rows).toPandas()
+    plain = mix(items, targets, shards=5).toPandas()
+    used, before = got.groupby("source")["n_tokens"].sum(), plain.groupby("source")["n_tokens"].sum()
+    assert (abs(used - before) <= 60).all() and not got.duplicated(["doc_id", "use_no"]).any()
+    fill = got.groupby("shard")["n_tokens"].sum()
+    assert len(fill) == 300 and fill.max() < 1.6 * fill.mean() and fill.min() > 0.5 * fill.mean()
+    # every shard is a sample of the mixture
+    share = got[got.source == "big"].groupby("shard")["n_tokens"].sum() / fill
+    assert abs(share.mean() - 0.7) < 0.02 and share.std() < 0.15
+
+
 def _whole(text):
     change = T._tables()[0]
     text = unicodedata.normalize("NFD", T.LINE_ENDS.sub("\n", text)).translate(change)
