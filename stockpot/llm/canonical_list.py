@@ -46,7 +46,7 @@ def _shortened(text: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)))
 
 
-#: Words of more letters are no words that someone mistyped; they are matched as they stand.
+#: Up to so many letters tokens are met by the texts that deletions leave; longer ones by their thirds.
 LONGEST = 48
 
 
@@ -54,9 +54,30 @@ def _with_keys(df: DataFrame, token: str) -> DataFrame:
     """df with a hash for the token and each text that its allowed deletions leave."""
     t = F.col(token)
     none = F.array().cast("array<string>")
-    one = F.when(F.length(t).between(2, LONGEST), _shortened(t)).otherwise(none)
-    two = F.when(F.length(t).between(4, LONGEST), F.flatten(F.transform(one, _shortened))).otherwise(none)
-    return df.withColumn("_key", F.explode(F.transform(F.array_distinct(F.concat(F.array(t), one, two)), lambda x: F.xxhash64(x))))
+    one = F.when(F.length(t) >= 2, _shortened(t)).otherwise(none)
+    two = F.when(F.length(t) >= 4, F.flatten(F.transform(one, _shortened))).otherwise(none)
+    return df.where(F.length(t) <= LONGEST).withColumn("_key", F.explode(F.transform(F.array_distinct(F.concat(F.array(t), one, two)), lambda x: F.xxhash64(x))))
+
+
+def _third(text: Column, length: Column, i: Column, shift: Column) -> Column:
+    """A hash of the i-th third of a text as one of that length has it, read so many letters later."""
+    start, end = F.floor(i * length / 3), F.floor((i + 1) * length / 3)
+    return F.xxhash64(length, i, F.substring(text, (start + shift + 1).cast("int"), (end - start).cast("int")))
+
+
+def _with_thirds(df: DataFrame, token: str, typed: bool) -> DataFrame:
+    """df with keys of long tokens: two edits leave one of the thirds of a form whole, at most two letters away from its place."""
+    t, i = F.col(token), F.array(*map(F.lit, range(3)))
+    near = F.array(*map(F.lit, range(-2, 3)))
+    own = lambda length: F.flatten(F.transform(i, lambda k: F.transform(near, lambda d: F.when(F.floor(k * length / 3) + d >= 0, _third(t, length, k, d)))))
+    keys = F.flatten(F.transform(near, lambda d: own(F.length(t) + d))) if typed else F.transform(i, lambda k: _third(t, F.length(t), k, F.lit(0)))
+    return df.where(F.length(t) >= LONGEST - 1).withColumn("_key", F.explode(F.array_distinct(F.array_compact(keys))))
+
+
+def _swapped(a: Column, b: Column) -> Column:
+    """Whether two texts of one length differ in a swap of neighbours alone."""
+    swap = lambda at: F.concat(F.substring(a, F.lit(1), at - 1), F.substring(a, at + 1, F.lit(1)), F.substring(a, at, F.lit(1)), F.substring(a, at + 2, F.length(a)))
+    return (F.length(a) == F.length(b)) & (F.length(a) > 1) & F.exists(F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))), lambda at: swap(at) == b)
 
 
 def _inflected(token: Column) -> Column:
@@ -97,12 +118,11 @@ def _repair(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     span counts the reference tokens that one typed token stands for. An inflected form needs
     a letter more than the listed one for the same number of edits.
     """
-    left = _with_keys(words, "token")
-    right = _with_keys(vocabulary, "form")
-    close = left.join(right, "_key").select("token", "form", "refs", "inflected").distinct()
-    edits = F.levenshtein("token", "form")
-    swapped = F.array_sort(F.split("token", "")) == F.array_sort(F.split("form", ""))
-    close = close.withColumn("edits", F.when((edits == 2) & swapped, 1).otherwise(edits)).where(F.col("edits") <= F.when(edits == 0, 0).otherwise(_allowed(F.greatest(F.length("token"), F.length("form")) - F.col("inflected"))))
+    met = _with_keys(words, "token").join(_with_keys(vocabulary, "form"), "_key").select("token", "form", "refs", "inflected")
+    long = _with_thirds(words, "token", True).join(_with_thirds(vocabulary, "form", False), "_key").select("token", "form", "refs", "inflected")
+    close = met.union(long).distinct().withColumn("edits", F.levenshtein("token", "form", 2)).where("edits >= 0")
+    edits = F.col("edits")
+    close = close.withColumn("edits", F.when((edits == 2) & _swapped(F.col("token"), F.col("form")), 1).otherwise(edits)).where(F.col("edits") <= F.when(F.col("edits") == 0, 0).otherwise(_allowed(F.greatest(F.length("token"), F.length("form")) - F.col("inflected"))))
     spread = close.select("token", F.explode("refs").alias("ref"), "edits", F.size("refs").alias("span"))
     return spread.groupBy("token", "ref").agg(F.min(F.struct("edits", "span")).alias("_m")).select("token", "ref", "_m.edits", "_m.span")
 
@@ -147,7 +167,7 @@ def map_values(values: DataFrame, entries: DataFrame, makers_from: int = 3, max_
     # a word of the list itself is no maker
     makers = exact.join(vocabulary.select(F.col("form").alias("maker")), "maker", "left_anti").select("maker", F.lit(True).alias("known"))
     meant = scored.join(makers, "maker", "left").where("maker is null or known")
-    best = meant.groupBy("name").agg(F.max_by(F.struct("target", "score"), F.struct("score", "n", F.col("maker").isNull())).alias("best"))
+    best = meant.groupBy("name").agg(F.min_by(F.struct("target", "score"), F.struct(-F.col("score"), -F.col("n"), F.col("maker").isNotNull(), "target")).alias("best"))
     return named.select("value", "name").join(best, "name", "left").select("value", F.coalesce("best.target", F.lit(NONE)).alias("target"), F.coalesce("best.score", F.lit(0.0)).alias("score"))
 
 

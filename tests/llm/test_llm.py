@@ -115,6 +115,64 @@ def test_typed_values(mapped):
     assert {k: v for k, v in mapped.items() if v != NONE} == {k: f"id-{v}" for k, v in want.items()}
 
 
+def test_tokens_of_any_length_are_repaired(spark):
+    import random
+
+    from stockpot.llm.canonical_list import _repair
+
+    draw = random.Random(3)
+    letters = "abcdefgh"
+    forms = ["".join(draw.choice(letters) for _ in range(n)) for n in (1, 2, 3, 4, 5, 7, 12, 46, 47, 48, 49, 50, 51, 90, 91, 300)]
+
+    def edited(word, n):
+        for _ in range(n):
+            at, how = draw.randrange(len(word) + 1), draw.choice("idsw")
+            if how == "i":
+                word = word[:at] + draw.choice(letters) + word[at:]
+            elif how == "d":
+                word = word[:at] + word[at + 1 :]
+            elif how == "s":
+                word = word[:at] + draw.choice(letters) + word[at + 1 :]
+            else:
+                word = word[:at] + word[at : at + 2][::-1] + word[at + 2 :]
+        return word
+
+    typed = sorted({w for f in forms for n in (0, 1, 1, 2, 2, 2, 3) for _ in range(12) if (w := edited(f, n))})
+    words = spark.createDataFrame([(t,) for t in typed], "token string")
+    vocabulary = spark.createDataFrame([(f, [f], 0) for f in forms], "form string, refs array<string>, inflected int")
+    got = {(r.token, r.ref): r.edits for r in _repair(words, vocabulary).collect()}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    want = {}
+    for t in typed:
+        for f in forms:
+            if abs(len(t) - len(f)) > 2:
+                continue
+            d = distance(t, f)
+            swap = len(t) == len(f) and any(t[:i] + t[i + 1] + t[i] + t[i + 2 :] == f for i in range(len(t) - 1))
+            d = 1 if d == 2 and swap else d
+            if d <= (0 if d == 0 or max(len(t), len(f)) <= 2 else 1 if max(len(t), len(f)) <= 4 else 2):
+                want[t, f] = d
+    assert got == want and len(want) > 400
+
+
+def test_ties_go_to_the_smaller_target(spark):
+    entries = spark.createDataFrame([("id-2", "salt pork"), ("id-1", "pork salt"), ("id-3", "salt pork")], "target string, name string")
+    values = spark.createDataFrame([("salt pork",)], "value string")
+    assert [r.target for r in map_values(values, entries).collect()] == ["id-1"]
+    swaps = spark.createDataFrame([("slat", "salt"), ("atls", "salt"), ("salt", "salt"), ("last", "salt"), ("x", "x")], "a string, b string")
+    from stockpot.llm.canonical_list import _swapped
+
+    assert [r[0] for r in swaps.select(_swapped(F.col("a"), F.col("b"))).collect()] == [True, False, False, False, False]
+
+
 def test_stray_lines(spark):
     kind = "line_id long, ingredient_id string, name string, normalized_name string, loaded_at timestamp, score int"
     lines = spark.sql("select 1L line_id, cast(null as string) ingredient_id, 'salt' name, 'salt' normalized_name, timestamp'2024-01-01' loaded_at, 1 score").union(
