@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from stockpot.session import cut
 
-#: Records of a block, items of its dense block, rows of one matrix product, and outer-product entries held at once.
-RECORDS, DENSE, ROWS, ENTRIES = 65_536, 512, 4_096, 2_000_000
+#: Records and items of a block, items of its dense block, rows of one matrix product, and outer-product entries held at once.
+RECORDS, ITEMS, DENSE, ROWS, ENTRIES = 65_536, 4_000_000, 512, 4_096, 2_000_000
 #: The kind under which the number of records travels.
 TOTAL = ""
 
@@ -69,6 +69,21 @@ def gram(codes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray
     return np.concatenate(a), np.concatenate(b), np.concatenate(n)
 
 
+def _items(batch: pa.RecordBatch) -> int:
+    return sum(len(lists.flatten()) for lists in batch.columns)
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of no more items than a block may hold; one record is never parted."""
+    if batch.num_rows < 2 or _items(batch) <= ITEMS:
+        if batch.num_rows:
+            yield batch
+        return
+    half = batch.num_rows // 2
+    yield from _pieces(batch.slice(0, half))
+    yield from _pieces(batch.slice(half))
+
+
 def _products(kinds: list[str]):
     schema = pa.schema([("item_kind", pa.string()), ("item_a", pa.string()), ("item_b", pa.string()), ("n", pa.int64())])
 
@@ -76,9 +91,8 @@ def _products(kinds: list[str]):
         block = pa.Table.from_batches(batches)
         yield pa.RecordBatch.from_pylist([{"item_kind": TOTAL, "item_a": TOTAL, "item_b": TOTAL, "n": block.num_rows}], schema)
         for k, kind in enumerate(kinds):
-            lists = block.column(k).combine_chunks()
-            lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
-            lengths = np.diff(lists.offsets.to_numpy()) * lists.is_valid().to_numpy(zero_copy_only=False)
+            lists = pa.concat_arrays(block.column(k).chunks)
+            lengths = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
             coded = lists.flatten().dictionary_encode()
             if not len(coded):
                 continue
@@ -93,11 +107,14 @@ def _products(kinds: list[str]):
         import pyarrow.compute  # noqa: F401
 
         held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= RECORDS:
+        records = items = 0
+        for batch in (piece for whole in batches for piece in _pieces(whole)):
+            size = _items(batch)
+            if held and (records + batch.num_rows > RECORDS or items + size > ITEMS):
                 yield from of_block(held)
-                held = []
+                held, records, items = [], 0, 0
+            held.append(batch)
+            records, items = records + batch.num_rows, items + size
         if held:
             yield from of_block(held)
 
@@ -110,7 +127,8 @@ def cooccurrence(records: DataFrame, kinds: dict[str, str], min_count: int = 1)
     records: one row per record. kinds: item kind -> array column. lift is n_ab * N / (n_a * n_b),
     how many times as often as chance the two appear together. Pairs met less than min_count
     times are left out of the result, exactly, after all blocks are summed. A null array is an
-    empty basket, repeated items count once, and an empty table gives no rows.
+    empty basket, repeated items count once, and an empty table gives no rows. Pairs of one
+    frequent item meet its marginal by a join whose hot keys Spark splits.
     """
     baskets = records.select(*(F.coalesce(basket(F.col(c)), F.array().cast("array<string>")).alias(f"_{i}") for i, c in enumerate(kinds.values())))
     sums = baskets.mapInArrow(_products(list(kinds)), "item_kind string, item_a string, item_b string, n long").groupBy("item_kind", "item_a", "item_b").agg(F.sum("n").alias("n"))

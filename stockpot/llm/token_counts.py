@@ -9,6 +9,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +27,9 @@ def tokenizer(path: str):
     return tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _count(path: str):
+def _count(name: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_ordinary
+        encode = tokenizer(SparkFiles.get(name)).encode_ordinary
         for batch in batches:
             sizes = [len(encode(t)) if t else 0 for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sizes, pa.int64())], [*batch.schema.names[:-1], "n_tokens"])
@@ -37,7 +38,11 @@ def _count(path: str):
 
 
 def with_token_counts(df: DataFrame, keys: list[str], text: str = "text", path: str = VOCABULARY) -> DataFrame:
-    """keys and n_tokens: the size of the whole text; null and empty texts have none."""
+    """keys and n_tokens: the size of the whole text; null and empty texts have none.
+
+    path: the file of ranks as the driver sees it; it is sent to the executors once.
+    """
+    df.sparkSession.sparkContext.addFile(path)
     kept = df.select(*keys, F.col(text).alias("_text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]), "n_tokens long"])
-    return kept.mapInArrow(_count(path), schema)
+    return kept.mapInArrow(_count(Path(path).name), schema)

@@ -57,6 +57,26 @@ def test_cooccurrence(spark):
     assert cooccurrence(records.limit(0), {"i": "items"}).count() == 0
 
 
+def test_blocks_are_bounded_by_their_items():
+    import pyarrow as pa
+    import stockpot.llm.cooccurrence as M
+
+    batch = pa.RecordBatch.from_arrays([pa.array([["a", "b"], None, ["a", "c"], [], ["b", "c", "d"], ["a", "b"]], pa.list_(pa.string()))], ["_0"])
+    want = Counter()
+    for lists in batch.column(0).to_pylist():
+        want.update((*p,) for p in [*combinations(lists or [], 2), *((x, x) for x in lists or [])])
+    before, M.ITEMS = M.ITEMS, 3
+    try:
+        assert all(M._items(p) <= 3 or p.num_rows == 1 for p in M._pieces(batch))
+        got = Counter()
+        for out in M._products(["k"])(iter([batch, batch.slice(0, 0)])):
+            for r in out.to_pylist():
+                got[r["item_a"], r["item_b"]] += r["n"]
+    finally:
+        M.ITEMS = before
+    assert got.pop(("", "")) == 6 and got == want
+
+
 def test_pairs_of_few_recipes_come_out(spark, tmp_path):
     rows = [(1, 1, ["a", "b"]), (2, 1, ["a", "b"]), (3, 1, ["b", "c"]), (4, 1, ["c"]), (4, 2, ["a", " C "])]
     records = spark.createDataFrame([(no, rev, items, None, []) for no, rev, items in rows], "recipe_no long, revision int, ingredient_names array<string>, tag_slugs array<string>, category_slugs array<string>")
