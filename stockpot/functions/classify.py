@@ -27,8 +27,31 @@ def utc_text(seconds: Column) -> Column:
 
 
 def iso_to_seconds(text: Column) -> Column:
-    """ISO date and time as epoch seconds; null if it can't be read."""
-    return F.unix_timestamp(F.try_to_timestamp(text))
+    """ISO date and time as epoch seconds; null if it is none.
+
+    Dates with or without hyphens, times with or without colons, any character between them, an
+    offset or Z; a time of no zone is that of the session. A year alone is no date; weeks are not read.
+    """
+    return let(F.regexp_replace(text, "Z", "+00:00"), _iso_to_seconds)
+
+
+def _iso_to_seconds(text: Column) -> Column:
+    pattern = r"^(\d{4})(?:-(\d{2})-|(\d{2}))(\d{2})(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,]\d+)?)?)?(?:([+-]\d{2}):?(\d{2})(?::?\d{2})?)?)?$"
+    part = lambda i: F.regexp_extract(text, pattern, i)
+    filled = lambda i: F.lpad(part(i), 2, "0")
+    zone = F.when(part(8) != "", F.concat(part(8), F.lit(":"), part(9))).otherwise("")
+    whole = F.concat(part(1), F.lit("-"), part(2), part(3), F.lit("-"), part(4), F.lit("T"), filled(5), F.lit(":"), filled(6), F.lit(":"), filled(7), zone)
+    return F.when(text.rlike(pattern), F.unix_timestamp(F.try_to_timestamp(whole)))
+
+
+def display_date(seconds: Column) -> Column:
+    """Epoch seconds as a date to be read; Unknown without them."""
+    return F.coalesce(F.date_format(F.timestamp_seconds(seconds), "M/d/yyyy"), F.lit("Unknown"))
+
+
+def shown_minutes(total: Column, cooking: Column, preparation: Column) -> Column:
+    """The first of the times that is known, else 0."""
+    return F.coalesce(total, cooking, preparation, F.lit(0))
 
 
 def iso_duration_minutes(text: Column) -> Column:

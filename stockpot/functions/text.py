@@ -36,11 +36,16 @@ def clean_page(text: Column) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def unescape(text: pd.Series) -> pd.Series:
-    """HTML entities as the characters they stand for."""
+def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
+def unescape(text: Column) -> Column:
+    """HTML entities as the characters they stand for; a text without & crosses into Python as null."""
+    some = text.contains("&")
+    return F.when(some, _unescape(F.when(some, text))).otherwise(text)
+
+
 def clean_build(text: Column) -> Column:
     """clean_page after HTML entities are resolved. Rows pass through Python, so for texts that may hold any."""
     return clean_page(unescape(text))
@@ -67,9 +72,9 @@ def slugify(text: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    """Each piece between blanks, _ and - with a capital; the separators stay."""
+    """Each piece between blanks, _ and - with a capital and small letters after it; the separators stay."""
     pieces = F.regexp_extract_all(text, F.lit(r"([\s_-]+|[^\s_-]+)"), 1)
-    return F.array_join(F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substr(p, F.lit(2)))), "")
+    return F.array_join(F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substr(p, F.lit(2))))), "")
 
 
 def capitalize_first(text: Column) -> Column:
@@ -150,3 +155,13 @@ def search_blob(*parts: Column) -> Column:
 
 def file_name_of_sequence(sequence: Column) -> Column:
     return F.concat(F.lpad(sequence.cast("string"), 10, "0"), F.lit(".json"))
+
+
+def manifest_path_of_sequence(sequence: Column) -> Column:
+    """The place of a manifest below the catalog's folder."""
+    return F.concat(F.lit("manifests/"), file_name_of_sequence(sequence))
+
+
+def asset_url(repository: str, branch: str, path: Column) -> Column:
+    """The public address of a file in a repository."""
+    return F.concat(F.lit(f"{repository.rstrip('/')}/raw/{branch}/"), F.ltrim(path, F.lit("/")))

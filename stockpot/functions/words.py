@@ -89,3 +89,20 @@ TIME_LABELS = {"preparation": ("prep", "preparation"), "cooking": ("cook", "cook
 
 # File endings of image types.
 IMAGE_TYPES = {"image/jpeg": ".jpg", "image/png": ".png", "image/gif": ".gif", "image/webp": ".webp", "image/avif": ".avif", "image/svg+xml": ".svg", "image/bmp": ".bmp", "image/tiff": ".tiff"}
+
+# What counts as an amount, and how amounts are written in one way, in this order.
+AMOUNT = rf"(?:\d+(?:[./]\d+)?|[{''.join(FRACTIONS)}]|to)"
+AMOUNT_STEPS = (
+    (r"(?<=^|\s)/(?=\d)", "1/"),
+    (r"(?<=\d)\s*/\s+(?=\d+/\d+\b)", " "),
+    (r"(^|\s)[~≈](?=\s*\d)", "$1"),
+    ("[–—]", " - "),
+    (r"(?<=\d)(?=[A-Za-z])", " "),
+    (r"(?<=\d)\s*-\s*(?=[A-Za-z])", " "),
+    (r"\s+", " "),
+)
+
+# Words that leave open which of two things is meant, references to notes, and what these leave behind.
+CONNECTOR = r"\b(?:or|and/or)\b"
+NOTE = r"(?i)\([^)]*see notes?[^)]*\)\d*\)?"
+NOTE_DIGITS = ((r"\s+\d+\)$", ")"), (r"\s+\d+$", ""), (r"(?<=\b[A-Za-z])\s+\d+(?=\)|$)", ""), (r"\(\s*\)", ""), (r"\s+", " "))

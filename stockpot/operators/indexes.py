@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,10 @@ from stockpot.functions.ids import entity_id
 from stockpot.session import cut
 
 
+#: Columns of a summary that tell of its file.
+FILE_COLUMNS = ("file_sha256", "recipe_path")
+
+
 def entity_index(docs: DataFrame, array: str, key: str, attributes: list[str], ordinal: str, count: str = "recipe_count") -> DataFrame:
     """One row per key of an array of objects: key, attributes of its last occurrence, number of occurrences.
 
@@ -23,7 +29,9 @@ def entity_index(docs: DataFrame, array: str, key: str, attributes: list[str], o
 
 
 def category_index(docs: DataFrame, ordinal: str) -> DataFrame:
-    return entity_index(docs, "categories", "slug", ["name"], ordinal).withColumn("id", entity_id("category", F.col("slug")))
+    """Counts of categories; their description is given where the documents have one."""
+    more = ["description"] if "description" in docs.schema["categories"].dataType.elementType.fieldNames() else []
+    return entity_index(docs, "categories", "slug", ["name", *more], ordinal).withColumn("id", entity_id("category", F.col("slug")))
 
 
 def tag_index(docs: DataFrame, ordinal: str) -> DataFrame:
@@ -35,7 +43,7 @@ def ingredient_index(docs: DataFrame, ordinal: str) -> DataFrame:
 
 
 def recipe_summaries(docs: DataFrame) -> DataFrame:
-    """The summary of each document: identity, times with their total, plucked arrays, number of steps."""
+    """The summary of each document: identity, times with their total, plucked arrays, number of steps, and hash and path of its file where these are known."""
     pluck = lambda array, field: F.coalesce(F.transform(F.filter(array, lambda x: x.isNotNull()), lambda x: x[field]), F.array().cast("array<string>"))
     minutes = [F.col(c) for c in ("preparation_time_minutes", "cooking_time_minutes", "rest_time_minutes")]
     return docs.select(
@@ -43,9 +51,15 @@ def recipe_summaries(docs: DataFrame) -> DataFrame:
         "cooking_time_minutes", "preparation_time_minutes", "rest_time_minutes", total_minutes(*minutes).alias("total_time_minutes"),
         pluck("categories", "slug").alias("category_slugs"), pluck("tags", "slug").alias("tag_slugs"), "dietary_labels", "allergens",
         pluck("ingredients", "name").alias("ingredient_names"), F.size(F.coalesce("instructions", F.array())).alias("instruction_step_count"), "updated_at", "revision",
+        *(c for c in FILE_COLUMNS if c in docs.columns),
     )
 
 
+def browse_rows(summaries: DataFrame) -> DataFrame:
+    """Summaries as an index lists them, without hash and path."""
+    return summaries.drop(*FILE_COLUMNS)
+
+
 def in_index_order(summaries: DataFrame) -> DataFrame:
     """By lower-cased name, then slug, in code point order."""
     return summaries.orderBy(F.lower("name"), "slug")
@@ -71,6 +85,11 @@ def in_locale_order(df: DataFrame, name: str = "name") -> DataFrame:
     return df.orderBy(F.expr(f"`{name}` COLLATE UNICODE"))
 
 
+def first_in_locale_order(df: DataFrame, name: str = "name", n: int = 6) -> DataFrame:
+    """The first n rows in locale order."""
+    return in_locale_order(df, name).limit(n)
+
+
 def generated_at(docs: DataFrame, fallback: str) -> DataFrame:
     """One row with the latest update as UTC text, or the fallback."""
     return docs.agg(F.coalesce(utc_text(F.max("updated_at")), F.lit(fallback)).alias("generated_at"))
@@ -104,6 +123,18 @@ def renumbered(array: Column, field: str) -> Column:
     return F.transform(F.filter(array, lambda x: x.isNotNull()), lambda x, i: x.withField(field, (i + 1).cast("int")))
 
 
+def by_position(array: str, field: str = "position") -> Column:
+    """An array of objects in the order of a field, those without it and null objects last, ties in stored order."""
+    placed = F.transform(array, lambda x, i: F.struct(F.coalesce(x[field], F.lit(2**31 - 1)).alias("at"), i.alias("i"), x.alias("x")))
+    return F.transform(F.array_sort(placed, lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(a["i"] - b["i"])), lambda p: p["x"])
+
+
+def ordered_union(key: str, *parts: DataFrame) -> DataFrame:
+    """key and place: the rows of several tables (key, place), one table after the other, each key where it is met first."""
+    every = [p.select(key, F.struct(F.lit(i).alias("part"), F.col("place").alias("place")).alias("place")) for i, p in enumerate(parts)]
+    return reduce(DataFrame.unionByName, every).groupBy(key).agg(F.min("place").alias("place"))
+
+
 def document_order(df: DataFrame, path: str) -> DataFrame:
     """df with the ordinal that decides which occurrence is the last: the path itself, in code point order."""
     return df.withColumn("ordinal", F.col(path))

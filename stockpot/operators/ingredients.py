@@ -11,13 +11,8 @@ from pyspark.sql import functions as F
 
 from stockpot.functions.ids import entity_id
 from stockpot.functions.text import TAIL, clean_page, core_name, empty_to_null, let, normalize_name, preparation_text, unescape
-from stockpot.functions.words import BUILD_PREPARATIONS, COMPOUNDS, EXCLUDED, FRACTIONS, PAGE_UNITS, UNITS
+from stockpot.functions.words import AMOUNT, AMOUNT_STEPS, BUILD_PREPARATIONS, COMPOUNDS, CONNECTOR, EXCLUDED, FRACTIONS, NOTE, NOTE_DIGITS, PAGE_UNITS, UNITS
 
-_AMOUNT = rf"(?:\d+(?:[./]\d+)?|[{''.join(FRACTIONS)}]|to)"
-#: Brackets nested up to this depth are taken apart.
-DEPTH = 5
-_OUTER = r"(?:[^()]|\((?:[^()]|\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\))*\))*"
-CONNECTOR = r"\b(?:or|and/or)\b"
 
 
 def ingredient_text(text: Column) -> Column:
@@ -36,15 +31,7 @@ def _with_plain_amounts(text: Column) -> Column:
         return F.aggregate(table, apart, lambda acc, x: F.replace(acc, x["key"], x["value"]))
 
     t = let(F.replace(text, F.lit("⁄"), F.lit("/")), lambda v: F.when(v.rlike(f"[{glyphs}]"), plain(v)).otherwise(v))
-    for pattern, to in (
-        (r"(?<=^|\s)/(?=\d)", "1/"),
-        (r"(?<=\d)\s*/\s+(?=\d+/\d+\b)", " "),
-        (r"(^|\s)[~≈](?=\s*\d)", "$1"),
-        ("[–—]", " - "),
-        (r"(?<=\d)(?=[A-Za-z])", " "),
-        (r"(?<=\d)\s*-\s*(?=[A-Za-z])", " "),
-        (r"\s+", " "),
-    ):
+    for pattern, to in AMOUNT_STEPS:
         t = F.regexp_replace(t, pattern, to)
     return F.trim(t)
 
@@ -52,7 +39,7 @@ def _with_plain_amounts(text: Column) -> Column:
 def is_amount(token: Column) -> Column:
     """A number, fraction, decimal, fraction character, the word to, or a range of two of them."""
     plain = F.btrim(F.lower(F.btrim(token, F.lit("()[]{}.,:;"))), F.lit("-"))
-    return plain.rlike(rf"^{_AMOUNT}(?:-+{_AMOUNT})?$")
+    return plain.rlike(rf"^{AMOUNT}(?:-+{AMOUNT})?$")
 
 
 def measured(text: Column, units: list[str]) -> Column:
@@ -76,10 +63,22 @@ def measured(text: Column, units: list[str]) -> Column:
     return let(F.filter(F.split(ingredient_text(text), " "), lambda t: t != ""), counted)
 
 
+def _turns(text: Column) -> Column:
+    """As many entries as a text has opening brackets, one at least: no rule on brackets needs more turns until nothing changes."""
+    return F.sequence(F.lit(1), F.greatest(_count(text, "("), F.lit(1)))
+
+
+def _encloses(text: Column) -> Column:
+    """Whether the bracket that a text begins with is closed by its last character."""
+    inner = F.filter(F.split(F.regexp_replace(F.substr(text, F.lit(2), F.length(text) - 2), "[^()]", ""), ""), lambda c: c != "")
+    depth = F.aggregate(inner, F.lit(0), lambda acc, c: F.when(acc < 0, acc).when(c == "(", acc + 1).otherwise(acc - 1))
+    return text.startswith("(") & text.endswith(")") & (F.length(text) > 1) & (depth == 0)
+
+
 def without_outer_brackets(text: Column) -> Column:
     """A text without brackets that enclose all of it."""
-    peel = lambda t, _: F.when(t.rlike(rf"(?s)^\({_OUTER}\)$"), clean_page(F.regexp_extract(t, r"(?s)^\((.*)\)$", 1))).otherwise(t)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(DEPTH)), clean_page(text), peel)
+    peel = lambda t, _: F.when(_encloses(t), clean_page(F.substr(t, F.lit(2), F.length(t) - 2))).otherwise(t)
+    return let(clean_page(text), lambda whole: F.when(whole.startswith("("), F.aggregate(_turns(whole), whole, peel)).otherwise(whole))
 
 
 def without_notes(text: Column) -> Column:
@@ -88,15 +87,13 @@ def without_notes(text: Column) -> Column:
 
 
 def _without_notes(t: Column) -> Column:
-    cut = t
-    for _ in range(2):
-        cut = F.trim(F.regexp_replace(F.regexp_replace(cut, r"(?i)\([^)]*see notes?[^)]*\)\d*\)?", ""), r"\s+", " "))
-    return let(cut, lambda c: F.when(c != t, _without_digits(c)).otherwise(t))
+    once = lambda acc, _: F.trim(F.regexp_replace(F.regexp_replace(acc, NOTE, ""), r"\s+", " "))
+    return F.when(t.rlike(NOTE), let(F.aggregate(_turns(t), t, once), lambda c: F.when(c != t, _without_digits(c)).otherwise(t))).otherwise(t)
 
 
 def _without_digits(cut: Column) -> Column:
     left = cut
-    for pattern, to in ((r"\s+\d+\)$", ")"), (r"\s+\d+$", ""), (r"(?<=\b[A-Za-z])\s+\d+(?=\)|$)", ""), (r"\(\s*\)", ""), (r"\s+", " ")):
+    for pattern, to in NOTE_DIGITS:
         left = F.regexp_replace(left, pattern, to)
     return F.trim(left)
 
@@ -219,7 +216,7 @@ def bracket_parts(text: Column) -> Column:
         inner = F.filter(F.transform(F.regexp_extract_all(acc["base"], F.lit(r"\(([^()]*)\)"), 1), clean_page), lambda p: p != "")
         return F.struct(clean_page(F.regexp_replace(acc["base"], r"\([^()]*\)", " ")).alias("base"), F.concat(acc["parts"], inner).alias("parts"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(DEPTH)), start, peel)
+    return F.aggregate(_turns(F.coalesce(text, F.lit(""))), start, peel)
 
 
 def bracket_kind(part: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockpot.functions.text import empty_to_null
+from stockpot.operators.search import not_done
+from stockpot.session import cut
 
 
 def choice_content(choice: Column) -> Column:
@@ -40,6 +42,17 @@ def parsed_reply(text: Column) -> Column:
     return F.struct(F.when(is_object, F.to_json(recipe)).alias("recipe"), F.try_variant_get(v, "$.summary", "string").alias("summary"), error.alias("error"))
 
 
+def request_payload(document: Column, model: str, instructions: str, feedback: Column | None = None) -> Column:
+    """The request to a text model as JSON text: instructions, the document as JSON text, and what was wrong with the last reply.
+
+    feedback: null for a first request.
+    """
+    told = document if feedback is None else F.when(feedback.isNull(), document).otherwise(F.concat(F.lit("Validation error:\n"), feedback, F.lit("\n\nCurrent candidate:\n"), document))
+    message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    kind = F.struct(F.lit("json_object").alias("type"))
+    return F.to_json(F.struct(F.lit(model).alias("model"), F.array(message("system", F.lit(instructions)), message("user", told)).alias("messages"), F.lit(0.2).alias("temperature"), kind.alias("response_format")))
+
+
 def ask(requests: DataFrame, call: Callable[[str], str], key: str, attempts: int = 2) -> DataFrame:
     """key, content, calls: the replies of an injected callable, asked again while its content is blank."""
 
@@ -61,6 +74,24 @@ def route(candidates: DataFrame, errors: Column, retried: Column) -> DataFrame:
     return candidates.withColumn("route", F.when(F.size(errors) == 0, "valid").when(~retried, "retry").otherwise("manual"))
 
 
+def work_through(items: DataFrame, state: DataFrame, work: Callable[[DataFrame], DataFrame], batch: int = 1_000, key: str = "id") -> DataFrame:
+    """The state (kind, id, seq) after all items that it lacks were worked on, a batch after the other in the order of their keys.
+
+    work: from items to key and written, whether the result was kept. What fails counts as
+    reviewed too, so that it does not come again. Each batch's state is written before the next.
+    """
+    while True:
+        done = state.where("kind = 'reviewed'").select(F.col("id").alias(key))
+        some = cut(not_done(items, done, key).orderBy(key).limit(batch), "batch")
+        if not some.take(1):
+            return state
+        result = some.select(key).join(work(some).select(key, "written"), key, "left")
+        start = state.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("s")).first().s
+        new = result.select(F.lit("reviewed").alias("kind"), F.col(key).cast("string").alias("id"), F.lit(start).cast("long").alias("seq"))
+        kept = result.where("written").select(F.lit("written").alias("kind"), F.col(key).cast("string").alias("id"), F.lit(start).cast("long").alias("seq"))
+        state = cut(state.unionByName(new).unionByName(kept), "state")
+
+
 def merge_state(state: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """A resume state with new ids, each once in the order of its first seq."""
     return state.unionByName(new).groupBy(key).agg(F.min("seq").alias("seq"))

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FOLDER = "spark.checkpoint.dir"
+#: Tables that cut has written and release has not removed.
+_WRITTEN: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,17 +45,27 @@ def cut(df: DataFrame, name: str = "cut", by: str | None = None) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    atexit.register(_remove, spark, path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def release(spark: SparkSession) -> None:
+    """Removes the tables that cut has written; for the end of a job whose results are written, as what reads them fails after it."""
+    while _WRITTEN:
+        _remove(spark, _WRITTEN.pop())
+
+
+def _remove(spark: SparkSession | None, path: str) -> None:
     try:
         jvm = spark._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     except Exception:  # the session has ended before us
         if path.startswith("file://") and os.path.isdir(path[7:]):
-            import shutil
-
             shutil.rmtree(path[7:], ignore_errors=True)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    if _WRITTEN:
+        release(SparkSession.getActiveSession())

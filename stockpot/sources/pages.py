@@ -253,6 +253,11 @@ def parse_pages(pages: DataFrame, source_name: str, now: Column | None = None) -
     return docs, d.where("error is not null").select("url", "error")
 
 
+def run_totals(docs: DataFrame, rejects: DataFrame) -> DataFrame:
+    """One row with how many pages were read and how many failed."""
+    return docs.agg(F.count("*").alias("ok")).crossJoin(rejects.agg(F.count("*").alias("failed")))
+
+
 def page_ingredients(docs: DataFrame, key: str = "id") -> DataFrame:
     """key, position, quantity, unit, name, preparation, normalized_name, ingredient_id of the documents' ingredient texts."""
     from stockpot.functions.text import normalize_name

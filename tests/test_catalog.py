@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from stockpot.operators import indexes as I
 from stockpot.operators import search as S
 from stockpot.operators.edit import changed_fields, edit_stats, merge_ids, rename_id, repair
-from stockpot.operators.replies import ask, choice_content, merge_state, parsed_reply, route
+from stockpot.operators.replies import ask, choice_content, merge_state, parsed_reply, request_payload, route, work_through
 from stockpot.operators.validate import require_valid, split_valid, violations
 from stockpot.plans.catalog import build_catalog, next_sequence
 from stockpot.queries_catalog import QUERIES
+from stockpot.sources import documents as D
 from stockpot.sources.documents import dump_rows, read_documents, read_hashes, read_url_list
+from stockpot.sources.fetch import crawl, fetch_pages, store_images
 from stockpot.streaming.manifests import CHANGE, apply_changes, follow, read_changes
 
 DOC = (
@@ -192,6 +194,8 @@ def test_replies(values, spark):
     got = values(lambda v: parsed_reply(F.col(v)), *replies)
     assert (got[0].recipe, got[0].summary, got[0].error) == ('{"a":1}', "s", None) and got[1].error is None
     assert [g.error is not None for g in got[2:]] == [True, True, True]
+    payload = spark.createDataFrame([('{"a": 1}', None), ("{}", "bad")], "d string, e string").select(request_payload(F.col("d"), "m", "do", F.col("e"))).collect()
+    assert [json.loads(p[0])["messages"][1]["content"] for p in payload] == ['{"a": 1}', "Validation error:\nbad\n\nCurrent candidate:\n{}"] and json.loads(payload[0][0])["response_format"] == {"type": "json_object"}
     requests = spark.createDataFrame([("1", "good"), ("2", "empty")], "id string, payload string")
     asked = ask(requests, lambda p: "ok" if p == "good" else " ", "id")
     assert {tuple(r) for r in asked.collect()} == {("1", "ok", 1), ("2", " ", 2)}
@@ -213,8 +217,95 @@ def test_build_catalog(spark, docs, tmp_path):
     manifest = json.loads((tmp_path / "manifests/0000000002.json").read_text())
     assert [u["slug"] for u in manifest["upserts"]] == ["one", "three", "two"] and manifest["removals"] == [] and manifest["from_sequence"] == 1
     assert next_sequence(release, False) == 2 and next_sequence(None, True) == 2
+    assert (release["minimum_supported_client_version"], release["catalog_version"], release["$schema"]) == ("1.0.0", "v1", "./schemas/release.schema.json")
+    assert list(manifest) == ["$schema", "schema_version", "from_sequence", "to_sequence", "generated_at", "upserts", "removals"] and index["$schema"] == "../schemas/ingredients-index.schema.json"
     with pytest.raises(ValueError, match="no documents"):
         build_catalog(docs.limit(0), str(tmp_path))
+    # what is written can be read, and a second build goes on from the first
+    back = {name: D.read_index(spark, f"{tmp_path}/indexes/{name}.index.json", name) for name in ("recipes", "categories", "tags", "ingredients")}
+    assert [r.slug for r in back["recipes"].collect()] == ["one", "three", "two"] and back["categories"].first().recipe_count == 2 and {r.id for r in D.read_ingredient_index(spark, f"{tmp_path}/indexes/ingredients.index.json").collect()} == {i["id"] for i in index["ingredients"]}
+    again = build_catalog(docs, str(tmp_path), tables=str(tmp_path / "tables"))
+    assert again == release and spark.read.parquet(f"{tmp_path}/tables/recipes").count() == 3
+    for missing in (lambda: D.read_index(spark, f"{tmp_path}/none.json", "tags"), lambda: D.read_ingredient_index(spark, f"{tmp_path}/none.json")):
+        with pytest.raises(FileNotFoundError, match="none.json"):
+            missing()
+
+
+def test_build_checks_by_schemas(spark, docs, tmp_path):
+    folder = tmp_path / "schemas"
+    folder.mkdir()
+    put = lambda name, schema: (folder / name).write_text(json.dumps(schema))
+    row = lambda **p: {"type": "object", "properties": p, "required": list(p)}
+    put("tags-index.schema.json", {"properties": {"tags": {"items": {"$ref": "#/$defs/tag"}}}, "$defs": {"tag": {**row(id={"type": "string"}, slug={"type": "string", "minLength": 1}, name={"type": "string"}, color={"type": ["string", "null"]}, recipe_count={"type": "integer", "minimum": 1}), "additionalProperties": False}}})
+    put("release.schema.json", row(catalog_version={"const": "v1"}, latest_manifest=row(sha256={"type": "string", "pattern": "^[a-f0-9]{64}$"})))
+    assert build_catalog(docs, str(tmp_path / "a"), schemas=str(folder))["repo_sequence"] == 1
+    put("release.schema.json", row(catalog_version={"const": "v2"}))
+    with pytest.raises(Exception, match="schema validation failed for release"):
+        build_catalog(docs, str(tmp_path / "b"), schemas=str(folder))
+    assert not (tmp_path / "b/release.json").exists()
+    put("recipe.schema.json", row(servings={"type": "integer", "minimum": 5}))
+    with pytest.raises(Exception, match="schema validation failed for document"):
+        build_catalog(docs, str(tmp_path / "c"), schemas=str(folder))
+
+
+def test_state_and_lists(spark, tmp_path):
+    state = f"{tmp_path}/state.json"
+    assert D.read_state(spark, state).count() == 0
+    items = spark.createDataFrame([(i, f"n{i}") for i in "edcba"], "id string, name string")
+    seen = []
+
+    def work(some):
+        seen.append([r.id for r in some.collect()])
+        return some.where("id <> 'b'").select("id", (F.col("id") != "c").alias("written"))
+
+    D.write_state(spark.createDataFrame([("reviewed", "a", 0), ("reviewed", "a", 5), ("written", "a", 0)], "kind string, id string, seq long"), state)
+    done = work_through(items, D.read_state(spark, state), work, batch=2)
+    D.write_state(done, state)
+    saved = json.loads((tmp_path / "state.json").read_text())
+    assert seen == [["b", "c"], ["d", "e"]] and saved["reviewed_ids"][0] == "a" and sorted(saved["reviewed_ids"]) == list("abcde") and sorted(saved["written_ids"]) == ["a", "d", "e"]
+    (tmp_path / "bad.json").write_text('{"reviewed_ids": 3}')
+    with pytest.raises(ValueError, match="invalid state"):
+        D.read_state(spark, f"{tmp_path}/bad.json")
+    D.write_url_list(spark.createDataFrame([("https://b",), ("https://a",)], "url string"), f"{tmp_path}/u.txt")
+    assert (tmp_path / "u.txt").read_text() == "https://a\nhttps://b\n"
+    assert {(r.url, r.place.part) for r in I.ordered_union("url", *(spark.createDataFrame(x, "url string, place int") for x in ([("a", 1), ("b", 2)], [("b", 1), ("c", 2)]))).collect()} == {("a", 0), ("b", 0), ("c", 1)}
+
+
+def test_documents_are_written_and_rewritten(spark, tmp_path):
+    docs = spark.createDataFrame([("a.json", "a", "é", 1), ("a.json", "a", "new", 2), ("b.json", "b", None, 1)], "_file string, slug string, name string, revision int")
+    D.write_documents(docs, str(tmp_path / "by-id"))
+    assert (tmp_path / "by-id/a.json").read_text() == json.dumps({"slug": "a", "name": "new", "revision": 2}, indent=2) + "\n" and len(list((tmp_path / "by-id").iterdir())) == 2
+    old = (tmp_path / "by-id/b.json").read_bytes()
+    read = spark.read.option("multiLine", True).json(f"{tmp_path}/by-id").withColumn("path", F.col("_metadata.file_path"))
+    assert D.rewrite_changed(read.where("slug = 'a'").withColumn("name", F.lit("é")).withColumn("rows_changed", F.lit(1)), "rows_changed") == 1
+    assert json.loads((tmp_path / "by-id/a.json").read_text())["name"] == "é" and "\\u00e9" in (tmp_path / "by-id/a.json").read_text() and (tmp_path / "by-id/b.json").read_bytes() == old
+    assert {(r.slug, r.name) for r in D.documents_by_slug(read.unionByName(read.withColumn("path", F.lit("z")).withColumn("name", F.lit("last")))).collect()} == {("a", "last"), ("b", "last")}
+
+
+def test_fetching_and_crawling(spark, tmp_path):
+    article = lambda n: f'<article class="category-recipes"><a href="/{n}">x</a></article>'
+    pages = {
+        "https://x.com/recipes/": f'<main>{article("one")}</main><a class="page-numbers" href="/recipes/page/3/">3</a>', "https://x.com/recipes/page/2/": f'<main>{article("two")}</main>',
+        "https://x.com/cover": "image",
+    }
+
+    def call(url):
+        return pages[url].encode(), "image/webp; q=1"
+
+    start = spark.createDataFrame([("https://x.com/recipes/",)], "url string")
+    urls, failed = crawl(start, "x.com", "https://x.com/recipes/", call)
+    assert {r.url for r in urls.collect()} == {"https://x.com/one/", "https://x.com/two/"} and [r.url for r in failed.collect()] == ["https://x.com/recipes/page/3/"]
+    got, lost = fetch_pages(spark.createDataFrame([("https://x.com/cover",), (None,), ("u",), ("u",)], "url string"), call)
+    assert [r.html for r in got.collect()] == ["image"] and ["KeyError" in r.error for r in lost.collect()] == [True]
+    images = spark.createDataFrame([("i", "https://x.com/cover"), ("j", "none")], "id string, url string")
+    assert {(r.id, r.path) for r in store_images(images, str(tmp_path), call).collect()} == {("i", "i/cover.webp"), ("j", None)} and (tmp_path / "i/cover.webp").read_bytes() == b"image"
+
+
+def test_arrays_by_position_and_first_in_locale_order(spark):
+    rows = spark.createDataFrame([([(3, "c"), None, (1, "a"), (None, "n"), (1, "b")],), ([],), (None,)], "v array<struct<position:int,text:string>>")
+    assert [[x and x.text for x in r[0]] if r[0] is not None else None for r in rows.select(I.by_position("v")).collect()] == [["a", "b", "c", None, "n"], [], None]
+    names = spark.createDataFrame([(n,) for n in ("b", "É", "a", "Z", "e", "f", "B")], "name string")
+    assert [r.name for r in I.first_in_locale_order(names, n=3).collect()] == ["a", "b", "B"]
 
 
 def test_files(spark, tmp_path):

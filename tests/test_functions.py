@@ -23,7 +23,7 @@ def test_cleaning_differs_by_purpose(values):
 def test_names_and_slugs(values):
     assert values(lambda v: X.normalize_name(F.col(v)), "Pork (Belly), 1/2-inch!", "-/ x /-", None) == ["pork 1/2-inch", "x", ""]
     assert values(lambda v: X.slugify(F.col(v)), "Crème  Brûlée!", "--", None) == ["cr-me-br-l-e", "", ""]
-    assert values(lambda v: X.title_case(F.col(v)), "a-b c_d") == ["A-B C_D"]
+    assert values(lambda v: X.title_case(F.col(v)), "a-b c_d", "EASY-Recipes éT", "") == ["A-B C_D", "Easy-Recipes Ét", ""]
     assert values(lambda v: X.title_of_slug(F.col(v)), "abc-2nd-x") == ["Abc 2Nd X"]
 
 
@@ -72,3 +72,25 @@ def test_total_minutes_and_times(spark):
 def test_image_extension(spark):
     rows = spark.createDataFrame([("https://x/a/b.PNG?q=1", None), ("https://x/a", "image/webp; x"), ("https://x/", None), (None, None)], "u string, t string")
     assert [r[0] for r in rows.select(C.image_extension(F.col("u"), F.col("t"))).collect()] == [".png", ".webp", ".jpg", ".jpg"]
+
+
+def test_iso_dates(values):
+    import datetime
+
+    texts = ["2024-01-02T03:04:05Z", "20240102", "2024-01-02", "2024", "2024-1-2", "20240102T030405", "2024-01-02 03:04", "2024-01-02T03", "2024-01-02T03:04:05.678+05:30", "2024-13-01", "2024-01-02T03:04:05-0230", "x", "", "2024-01-02T", "2024-01-02x03:04:05,5"]
+
+    def want(text):
+        try:
+            at = datetime.datetime.fromisoformat(text.replace("Z", "+00:00"))
+        except ValueError:
+            return None
+        return int((at if at.tzinfo else at.replace(tzinfo=datetime.UTC)).timestamp())
+
+    assert values(lambda v: C.iso_to_seconds(F.col(v)), *texts, None) == [*map(want, texts), None]
+
+
+def test_times_dates_and_places(spark):
+    rows = spark.createDataFrame([(None, 5, 3, 0), (9, 5, 3, None), (None, None, 3, 1704164645), (None, None, None, 1)], "t int, c int, p int, s long")
+    assert [tuple(r) for r in rows.select(C.shown_minutes(*map(F.col, "tcp")), C.display_date(F.col("s"))).collect()] == [(5, "1/1/1970"), (9, "Unknown"), (3, "1/2/2024"), (0, "1/1/1970")]
+    one = spark.range(1).select(X.manifest_path_of_sequence(F.lit(12)), X.asset_url("https://x/r/", "main", F.lit("/a/b.png"))).first()
+    assert tuple(one) == ("manifests/0000000012.json", "https://x/r/raw/main/a/b.png")

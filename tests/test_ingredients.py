@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from stockpot.operators.ingredients import canonicalize_lines, normalize_lines, split_text
 from stockpot.plans.catalog import canonical_ingredients, canonical_lines, review_queue
 
@@ -64,3 +65,15 @@ def test_texts_of_any_length_keep_their_end(spark):
     words = "w " * 10_050 + "end"
     assert got[0] == ("2", "cups", words) and got[1] == (None, None, words)
     assert got[2][:2] == ("2", "cups") and got[3][:2] == ("2", None) and got[4] == (None, None, "")
+
+
+def test_brackets_and_notes_of_any_number(values):
+    from stockpot.operators.ingredients import bracket_parts, without_notes, without_outer_brackets
+
+    deep = "a " + "(b " * 12 + "c" + ")" * 12
+    got = values(lambda v: bracket_parts(F.col(v)), deep, "x (y) (z (w)) (", "((", "", None)
+    assert (got[0].base, len(got[0].parts), got[0].parts[0], got[0].parts[-1]) == ("a", 12, "b c", "b")
+    assert [(g.base, list(g.parts)) for g in got[1:]] == [("x (", ["y", "w", "z"]), ("((", []), ("", []), ("", [])]
+    assert values(lambda v: without_outer_brackets(F.col(v)), "(" * 20 + "a" + ")" * 20, "(a) (b)", "((a) (b))", "(a", "()", "( (a) )", "(", "") == ["a", "(a) (b)", "(a) (b)", "(a", "", "a", "(", ""]
+    notes = values(lambda v: without_notes(F.col(v)), "salt (see note 1) (see notes 2) (See Note 3)4", "salt (x (see note 1) y)", "salt 5", "a (see (see note) note) 3", "oil 7 (see note 1)")
+    assert notes == ["salt", "salt y)", "salt 5", "a note)", "oil"]
