@@ -141,6 +141,11 @@ def _is_heading(t: Column) -> Column:
     return t.startswith(">>") & F.trim(F.regexp_replace(t, "^>+", "")).endswith(":")
 
 
+def is_excluded(text: Column) -> Column:
+    """Whether a text is empty or names what is no ingredient."""
+    return let(F.lower(clean_page(text)), lambda t: (t == "") | t.rlike("|".join(EXCLUDED)))
+
+
 def parsed_text(text: Column, page: bool = False) -> Column:
     """quantity, unit, name and preparation of a free text, as a struct.
 
@@ -241,7 +246,6 @@ def canonical_line(x: Column) -> Column:
     compound is split, an ambiguous name goes to review and out of the recipe, all else is kept.
     """
     compound = F.create_map(*(c for name, parts in COMPOUNDS.items() for c in (F.lit(name), F.array(*map(F.lit, parts)))))
-    excluded = lambda c: let(F.lower(clean_page(c)), lambda t: (t == "") | t.rlike("|".join(EXCLUDED)))
 
     def based(b: Column) -> Column:
         kinds = F.transform(b["parts"], lambda p: F.struct(p.alias("part"), bracket_kind(p).alias("kind")))
@@ -253,7 +257,7 @@ def canonical_line(x: Column) -> Column:
         return preparation_text(F.array_join(F.array_compact(F.concat(F.array(empty_to_null(x["preparation"])), told, F.array(tail))), " "))
 
     def way(base: Column, core: Column, parts: Column) -> Column:
-        return F.when(is_heading(x["name"]), "heading").when(excluded(base) | excluded(core), "excluded").when(parts.isNotNull(), "split").when(core.rlike(CONNECTOR), "review").otherwise("canonicalized")
+        return F.when(is_heading(x["name"]), "heading").when(is_excluded(base) | is_excluded(core), "excluded").when(parts.isNotNull(), "split").when(core.rlike(CONNECTOR), "review").otherwise("canonicalized")
 
     def one(name: Column, quantity: Column, unit: Column, prep: Column) -> Column:
         return let(normalize_name(name), lambda n: F.struct(entity_id("ingredient", n).alias("ingredient_id"), name.alias("name"), n.alias("normalized_name"), quantity.alias("quantity"), unit.alias("unit"), prep.alias("preparation")))

@@ -8,11 +8,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpot.functions.text import empty_to_null
+from stockpot.functions.text import SPACE, empty_to_null
 from stockpot.operators.search import not_done
 from stockpot.session import cut
 
 
+def strip(text: Column) -> Column:
+    """A text without white space at its ends."""
+    return F.regexp_replace(text, rf"^{SPACE}|{SPACE}$", "")
+
+
 def choice_content(choice: Column) -> Column:
     """The text of a reply's choice given as JSON text: its content, else the texts of its parts, else its own text."""
     v = F.try_parse_json(choice)
@@ -23,22 +28,23 @@ def choice_content(choice: Column) -> Column:
         F.when(F.schema_of_variant(F.try_variant_get(p, "$.text", "variant")) == "STRING", F.try_variant_get(p, "$.text", "string")),
         F.try_variant_get(p, "$.text.value", "string"),
     )
-    parts = F.filter(F.transform(F.try_variant_get(v, "$.message.content", "array<variant>"), lambda p: F.trim(part(p))), lambda t: t != "")
-    filled = lambda t: F.when(F.trim(t) != "", t)
+    parts = F.filter(F.transform(F.try_variant_get(v, "$.message.content", "array<variant>"), lambda p: strip(part(p))), lambda t: t != "")
+    filled = lambda t: F.when(strip(t) != "", t)
     return F.coalesce(filled(whole), empty_to_null(F.array_join(parts, "\n")), filled(F.try_variant_get(v, "$.text", "string")), F.lit(""))
 
 
 def without_fence(text: Column) -> Column:
     """A reply without the code fence around it."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```[^\n]*\n", ""), r"\n\s*```[^\n]*$", ""))
+    return strip(F.regexp_replace(F.regexp_replace(strip(text), r"^```[^\n]*\n", ""), r"\n\s*```[^\n]*$", ""))
 
 
 def parsed_reply(text: Column) -> Column:
-    """recipe and summary as JSON text and error of a reply; text after the object is allowed."""
+    """recipe as JSON text, summary and error of a reply; text after the object is allowed."""
     v = F.try_parse_json(without_fence(text))
     recipe = F.try_variant_get(v, "$.recipe", "variant")
     is_object = F.coalesce(F.schema_of_variant(recipe).startswith("OBJECT"), F.lit(False))
-    error = F.when(v.isNull(), "model output was not valid JSON").when(~F.schema_of_variant(v).startswith("OBJECT"), "model output must be a JSON object").when(~is_object, 'model output must include a "recipe" object')
+    told = F.try_variant_get(v, "$.summary", "variant")
+    error = F.when(v.isNull(), "model output was not valid JSON").when(~F.schema_of_variant(v).startswith("OBJECT"), "model output must be a JSON object").when(~is_object, 'model output must include a "recipe" object').when(told.isNotNull() & (F.schema_of_variant(told) != "STRING"), 'model output "summary" must be a string if present')
     return F.struct(F.when(is_object, F.to_json(recipe)).alias("recipe"), F.try_variant_get(v, "$.summary", "string").alias("summary"), error.alias("error"))
 
 

@@ -20,19 +20,26 @@ from stockpot.session import cut, table
 from stockpot.sources.pages import canonical_url, slug_of_url
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
+def registry() -> tuple[dict[str, Query], dict[str, str], Callable]:
+    """The queries and the SQL of a module, and the decorator that adds to them."""
+    queries: dict[str, Query] = {}
+    texts: dict[str, str] = {}
 
-    return add
+    def query(sql: str | None = None) -> Callable[[Query], Query]:
+        def add(f: Query) -> Query:
+            queries[f.__name__] = f
+            if sql:
+                texts[f.__name__] = sql
+            return f
 
+        return add
+
+    return queries, texts, query
+
+
+QUERIES, SQL, query = registry()
 
 _CURRENT = "cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1)"
 
