@@ -13,10 +13,11 @@ from stockpot.functions.ids import content_hash, entity_id
 from stockpot.operators import indexes as I
 from stockpot.operators import search as S
 from stockpot.operators.edit import edit_stats, merge_ids, named_objects, repair
-from stockpot.operators.ingredients import split_text
+from stockpot.operators.ingredients import FIELDS
 from stockpot.operators.validate import violations
-from stockpot.plans.catalog import canonical_ingredients, canonical_lines, manifest, review_queue
-from stockpot.session import cut, table
+from stockpot.plans.catalog import build_catalog, manifest
+from stockpot.session import new_folder, table
+from stockpot.sources.documents import documents_by_slug, read_documents, read_index, rewrite_changed, write_documents
 from stockpot.sources.pages import canonical_url, slug_of_url
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +50,7 @@ _SEARCHED = ("name", "slug", "brief_description", "ingredient_names", "category_
 
 def _current(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """recipe_no and the named columns of the current rows; no other column is read."""
-    rows = table(spark, sf_dir, "recipe_summary").groupBy("recipe_no").agg(F.max_by(F.struct(*columns), "revision").alias("_r"))
+    rows = table(spark, sf_dir, "recipe_summary").groupBy("recipe_no").agg(F.max_by(F.struct(*columns), F.coalesce("revision", F.lit(-(2**31)))).alias("_r"))
     return rows.select("recipe_no", "_r.*")
 
 
@@ -130,15 +131,19 @@ def total_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "recipe_doc").select("rec_no", minutes.alias("total_time_minutes"))
 
 
-@query("""
-SELECT rec_no, slug, nullif(coalesce(preparation_time_minutes, 0) + coalesce(cooking_time_minutes, 0) + coalesce(rest_time_minutes, 0), 0) AS total_time_minutes,
-  array_to_string([x.slug FOR x IN categories IF x IS NOT NULL], '|') AS category_slugs, array_to_string([x.name FOR x IN ingredients IF x IS NOT NULL], '|') AS ingredient_names,
-  coalesce(len(instructions), 0) AS instruction_step_count FROM recipe_doc""".replace("array_to_string([x.slug FOR x IN categories IF x IS NOT NULL], '|')", "coalesce(array_to_string([x.slug FOR x IN categories IF x IS NOT NULL], '|'), '')").replace("array_to_string([x.name FOR x IN ingredients IF x IS NOT NULL], '|')", "coalesce(array_to_string([x.name FOR x IN ingredients IF x IS NOT NULL], '|'), '')"))
+_SCALARS = ("name", "recipe_type", "brief_description", "cuisine", "image_url", "difficulty", "servings", "cooking_time_minutes", "preparation_time_minutes", "rest_time_minutes", "updated_at", "revision")
+_TEXT_LISTS = ("dietary_labels", "allergens")
+_PLUCKED = (("category_slugs", "categories", "slug"), ("tag_slugs", "tags", "slug"), ("ingredient_names", "ingredients", "name"))
+
+
+@query("SELECT rec_no, slug, " + _uuid_sql("recipe", "slug") + " AS id, " + ", ".join(_SCALARS) + ", nullif(coalesce(preparation_time_minutes, 0) + coalesce(cooking_time_minutes, 0) + coalesce(rest_time_minutes, 0), 0) AS total_time_minutes, coalesce(len(instructions), 0) AS instruction_step_count, "
+  + ", ".join(f"coalesce(array_to_string({c}, '|'), '') AS {c}" for c in _TEXT_LISTS) + ", " + ", ".join(f"coalesce(array_to_string([x.{f} FOR x IN {a} IF x IS NOT NULL], '|'), '') AS {n}" for n, a, f in _PLUCKED) + " FROM recipe_doc")
 def nested_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "recipe_doc")
     # arrays are compared as texts; rec_no rides along beside the summary's own columns
-    rows = I.recipe_summaries(docs.withColumn("slug", F.concat_ws("#", "slug", "rec_no")))
-    return rows.select(F.regexp_extract("slug", r"#(\d+)$", 1).cast("long").alias("rec_no"), F.regexp_replace("slug", r"#\d+$", "").alias("slug"), "total_time_minutes", F.array_join("category_slugs", "|").alias("category_slugs"), F.array_join("ingredient_names", "|").alias("ingredient_names"), F.col("instruction_step_count").cast("long").alias("instruction_step_count"))
+    docs = table(spark, sf_dir, "recipe_doc").withColumn("recipe_path", F.col("rec_no").cast("string"))
+    rows = I.recipe_summaries(docs)
+    texts = {c: F.coalesce(F.array_join(c, "|"), F.lit("")) for c in (*_TEXT_LISTS, *(n for n, _, _ in _PLUCKED))}
+    return rows.withColumns(texts).withColumn("instruction_step_count", F.col("instruction_step_count").cast("long")).select(F.col("recipe_path").cast("long").alias("rec_no"), *I.browse_rows(rows).columns)
 
 
 _BLOB = "lower(concat_ws(' ', coalesce(name, ''), coalesce(slug, ''), coalesce(brief_description, ''), coalesce(array_to_string(ingredient_names, ' '), ''), coalesce(array_to_string(category_slugs, ', '), ''), coalesce(array_to_string(tag_slugs, ', '), ''), coalesce(difficulty, '')))"
@@ -187,10 +192,11 @@ def sync_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sync_diff(here, there)
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT doc_id, source FROM documents WHERE lang IS NULL")
 def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return S.not_done(table(spark, sf_dir, "customer"), done, "c_custkey").select("c_custkey", "c_name")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    # documents with a language stand for those that a run has done before
+    return S.not_done(docs, docs.where("lang is not null"), "doc_id").select("doc_id", "source")
 
 
 @query("SELECT text, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY text")
@@ -242,38 +248,25 @@ def merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_stats(merge_ids(table(spark, sf_dir, "recipe_doc"), index, ids))
 
 
-@query()
-def split_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table(spark, sf_dir, "ingredient_line").select(F.concat_ws(" ", "quantity", "unit", "name").alias("text")).distinct()
-    return split_text(texts, "text")
-
-
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # written once: what is filtered afterwards must not carry the long expressions along
-    return cut(canonical_lines(table(spark, sf_dir, "recipe_doc"), "rec_no", "pos"), "lines")
-
-
-@query()
-def canonical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canonical_ingredients(_lines(spark, sf_dir))
-
-
-@query()
-def review_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review_queue(_lines(spark, sf_dir))
-
-
 @query(f"WITH {_CURRENT} SELECT id, slug, updated_at, revision, 4 AS from_sequence, 5 AS to_sequence, '0000000005.json' AS file_name FROM cur")
 def manifest_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(_current(spark, sf_dir, "id", "slug", "updated_at", "revision"), 5)
 
 
-@query(r"SELECT rec_no, 'https://' || lower(split_part(split_part(source.url, '://', 2), '/', 1)) || rtrim(regexp_extract(source.url, '^[a-z]+://[^/?#]*([^?#;]*)', 1), '/') || '/' AS url FROM recipe_doc WHERE source.url LIKE 'https://%'")
+_URL = "regexp_extract(source.url, '^[a-z]+://([^/?#]*)', 1)", "regexp_extract(source.url, '^[a-z]+://[^/?#]*([^?#;]*)', 1)"
+
+
+@query(f"SELECT rec_no, CASE WHEN rec_no % 3 = 2 THEN 'http' ELSE 'https' END || '://' || lower({_URL[0]}) || rtrim({_URL[1]}, '/') || '/' AS url FROM recipe_doc WHERE source.url IS NOT NULL")
 def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "recipe_doc").where("source.url like 'https://%'").select("rec_no", canonical_url(F.col("source.url")).alias("url"))
+    """The URLs of the documents, of which every third is typed without a scheme and every third with capitals, a query and a fragment."""
+    rows = table(spark, sf_dir, "recipe_doc").where("source.url is not null").select("rec_no", F.regexp_replace("source.url", "^[a-z]+:", "").alias("url"))
+    host = F.regexp_extract("url", "^(//[^/?#]*)", 1)
+    loud = F.concat(F.lit("HTTP:"), F.upper(host), F.substr("url", F.length(host) + 1), F.lit("///?a=b#c"))
+    typed = F.when(F.col("rec_no") % 3 == 0, F.concat(F.lit("https:"), "url")).when(F.col("rec_no") % 3 == 1, F.col("url")).otherwise(loud)
+    return rows.select("rec_no", canonical_url(typed).alias("url"))
 
 
-@query()
+@query("SELECT rec_no, nullif(trim(regexp_replace(lower(url_decode(regexp_extract(rtrim(regexp_extract(source.url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/'), '([^/]+)$', 1))), '[^a-z0-9]+', '-', 'g'), '-'), '') AS slug FROM recipe_doc WHERE source.url IS NOT NULL")
 def url_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "recipe_doc").where("source.url is not null").select("rec_no", slug_of_url(F.col("source.url")).alias("slug"))
 
@@ -291,21 +284,28 @@ def inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _current(spark, sf_dir, "name").select("recipe_no", C.infer_recipe_type(F.array("name")).alias("recipe_type"))
 
 
-@query(f"WITH {_CURRENT} SELECT recipe_no, row_number() OVER (ORDER BY lower(name), slug) AS place FROM cur QUALIFY place <= 100")
+@query(f"WITH {_CURRENT} SELECT recipe_no, row_number() OVER (ORDER BY lower(name), slug, recipe_no) AS place FROM cur")
 def index_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every entry in index order."""
     return I.index_places(_current(spark, sf_dir, "name", "slug"), "recipe_no")
 
 
-@query("SELECT line_id, quantity, coalesce(try_cast(regexp_extract(trim(quantity), '([0-9]+(?:[.][0-9]+)?)', 1) AS DOUBLE) > 1, false) AS plural FROM (SELECT DISTINCT line_id, quantity FROM ingredient_line) WHERE quantity NOT LIKE '%/%' AND lower(trim(quantity)) NOT IN ('a', 'an', 'one')")
+_QUANTITY = r"lower(trim(regexp_replace(coalesce(quantity, ''), '[\s\x0B\x1C-\x1F\x85\p{Z}]+', ' ', 'g')))"
+#: Whether the quantity q is more than one, as SQL.
+MANY_SQL = r"""coalesce(CASE WHEN q IN ('a', 'an', 'one') THEN false WHEN regexp_matches(q, '^(?:[0-9]+\s+)?[0-9]+/[0-9]+$')
+  THEN coalesce(try_cast(nullif(regexp_extract(q, '^([0-9]+)\s', 1), '') AS DOUBLE), 0) + try_cast(regexp_extract(q, '([0-9]+)/', 1) AS DOUBLE) / nullif(try_cast(regexp_extract(q, '/([0-9]+)$', 1) AS DOUBLE), 0) > 1
+  ELSE try_cast(nullif(regexp_extract(q, '([0-9]+(?:[.][0-9]+)?)', 1), '') AS DOUBLE) > 1 END, false)"""
+
+
+@query(f"SELECT line_id, quantity, {MANY_SQL} AS plural FROM (SELECT DISTINCT line_id, quantity, {_QUANTITY} AS q FROM ingredient_line)")
 def plural_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "ingredient_line").select("line_id", "quantity").distinct()
     return rows.select("line_id", "quantity", C.is_plural(F.col("quantity")).alias("plural"))
 
 
-@query(r"SELECT tag_slug, string_agg(upper(p[1]) || substr(p, 2), '' ORDER BY i) AS title FROM (SELECT slug AS tag_slug, unnest(regexp_extract_all(slug, '[\s_-]+|[^\s_-]+')) AS p, generate_subscripts(regexp_extract_all(slug, '[\s_-]+|[^\s_-]+'), 1) AS i FROM tag_index) GROUP BY tag_slug")
+@query(r"SELECT tag_slug, string_agg(upper(p[1]) || lower(substr(p, 2)), '' ORDER BY i) AS title FROM (SELECT slug AS tag_slug, unnest(regexp_extract_all(s, '[\s_-]+|[^\s_-]+')) AS p, generate_subscripts(regexp_extract_all(s, '[\s_-]+|[^\s_-]+'), 1) AS i FROM (SELECT slug, upper(slug) || '_' || name AS s FROM tag_index)) GROUP BY tag_slug")
 def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "tag_index").select(F.col("slug").alias("tag_slug"), X.title_case(F.col("slug")).alias("title"))
+    return table(spark, sf_dir, "tag_index").select(F.col("slug").alias("tag_slug"), X.title_case(F.concat(F.upper("slug"), F.lit("_"), "name")).alias("title"))
 
 
 @query("SELECT rec_no, tags IS NOT NULL AND coalesce(len([x FOR x IN tags IF x IS NULL OR coalesce(x.id, '') = '' OR coalesce(x.slug, '') = '' OR coalesce(x.name, '') = '']), 0) = 0 AS named FROM recipe_doc")
@@ -318,6 +318,39 @@ def page_difficulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "recipe_doc").select("rec_no", C.page_difficulty(F.col("difficulty")).alias("difficulty"))
 
 
+def _catalog_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a catalog stores them: path, and places named position."""
+    docs = table(spark, sf_dir, "recipe_doc").withColumn("path", F.lpad(F.col("rec_no").cast("string"), 12, "0"))
+    placed = lambda c, *fields: F.transform(c, lambda x: F.when(x.isNotNull(), F.struct(*(x[f].alias(f) for f in fields), x["pos"].alias("position"))))
+    return docs.withColumns({"ingredients": placed("ingredients", *FIELDS), "instructions": placed("instructions", "text")}).drop("rec_no")
+
+
+_INDEXED = "SELECT '{kind}' AS kind, " + "{uuid} AS id, slug, name, recipe_count FROM ({index})"
+
+
+@query(" UNION ALL ".join(_INDEXED.format(kind=k, uuid=_uuid_sql(k, "slug"), index=_index_sql(a, "slug", "name")) for k, a in (("category", "categories"), ("tag", "tags"))))
+def catalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog is built, and two of the index files that its release names are read again."""
+    folder = new_folder(spark, "catalog")
+    release = build_catalog(_catalog_documents(spark, sf_dir), folder)
+    rows = [read_index(spark, f"{folder}/{release['indexes'][n]['path']}", n).select(F.lit(kind).alias("kind"), "id", "slug", "name", "recipe_count") for kind, n in (("category", "categories"), ("tag", "tags"))]
+    return rows[0].unionByName(rows[1])
+
+
+@query("SELECT slug, max(rec_no) AS rec_no, arg_max(name, rec_no) AS name, arg_max(revision + CASE WHEN rec_no % 2 = 0 THEN 1 ELSE 0 END, rec_no) AS revision, arg_max([x.name FOR x IN ingredients IF x IS NOT NULL], rec_no)::VARCHAR AS ingredients FROM recipe_doc GROUP BY slug")
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents are written as files, every second is rewritten with a higher revision, and all are read again, one a slug."""
+    folder = new_folder(spark, "files")
+    docs = _catalog_documents(spark, sf_dir).withColumnRenamed("path", "_file")
+    write_documents(docs.withColumn("_file", F.concat("_file", F.lit(".json"))), folder)
+    number = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("long")
+    stored = read_documents(spark, folder)
+    rewrite_changed(stored.where(number % 2 == 0).withColumn("revision", F.col("revision") + 1))
+    rows = documents_by_slug(read_documents(spark, folder))
+    names = F.transform(F.filter("ingredients", lambda x: x.isNotNull()), lambda x: F.coalesce(x["name"], F.lit("NULL")))
+    return rows.select("slug", number.alias("rec_no"), "name", "revision", F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]")).alias("ingredients"))
+
+
 @query()
 def repaired_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents repaired against themselves: what is filled is what their own names tell."""

@@ -12,7 +12,7 @@ from stockpot.operators import indexes as I
 from stockpot.operators import ingredients as G
 from stockpot.operators.edit import changed_fields, merge_ids, named_objects, repair
 from stockpot.operators.replies import choice_content, parsed_reply
-from stockpot.queries_catalog import _NAME, _uuid_sql, registry
+from stockpot.queries_catalog import _NAME, MANY_SQL, _uuid_sql, registry
 from stockpot.session import table
 from stockpot.sources import pages as P
 
@@ -170,12 +170,7 @@ def image_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WHERE = "lower(concat_ws(' ', nullif(" + _PLAIN.format("normalized_name") + ", ''), nullif(" + _PLAIN.format("name") + ", '')))"
 _HINT = "CASE " + " ".join(f"WHEN contains({_WHERE}, '{n}') THEN '{h}'" for n, h in W.UNIT_HINTS) + " ELSE 'piece' END"
-_MANY = r"""coalesce(CASE WHEN q IN ('a', 'an', 'one') THEN false WHEN regexp_matches(q, '^(?:[0-9]+\s+)?[0-9]+/[0-9]+$')
-  THEN coalesce(try_cast(nullif(regexp_extract(q, '^([0-9]+)\s', 1), '') AS DOUBLE), 0) + try_cast(regexp_extract(q, '([0-9]+)/', 1) AS DOUBLE) / nullif(try_cast(regexp_extract(q, '/([0-9]+)$', 1) AS DOUBLE), 0) > 1
-  ELSE try_cast(nullif(regexp_extract(q, '([0-9]+(?:[.][0-9]+)?)', 1), '') AS DOUBLE) > 1 END, false)"""
-
-
-@query(f"""SELECT line_id, CASE WHEN q <> '' THEN CASE WHEN NOT {_MANY} THEN hint WHEN regexp_matches(hint, 'f$') THEN left(hint, -1) || 'ves' ELSE hint || 's' END END AS unit FROM (
+@query(f"""SELECT line_id, CASE WHEN q <> '' THEN CASE WHEN NOT {MANY_SQL} THEN hint WHEN regexp_matches(hint, 'f$') THEN left(hint, -1) || 'ves' ELSE hint || 's' END END AS unit FROM (
   SELECT line_id, lower({_PLAIN.format("coalesce(quantity, '')")}) AS q, {_HINT} AS hint FROM (SELECT DISTINCT line_id, quantity, normalized_name, name FROM ingredient_line))""")
 def inferred_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "ingredient_line").select("line_id", "quantity", "normalized_name", "name").distinct()

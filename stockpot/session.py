@@ -35,6 +35,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A place of its own in the shared folder, which release removes."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def cut(df: DataFrame, name: str = "cut", by: str | None = None) -> DataFrame:
     """Writes ``df`` once to the shared folder, parted into folders by a column if one is named, and reads it back.
 
@@ -42,10 +49,9 @@ def cut(df: DataFrame, name: str = "cut", by: str | None = None) -> DataFrame:
     re-read, never a recomputation, and several consumers share one computation.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
