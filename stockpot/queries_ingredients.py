@@ -43,7 +43,7 @@ class Stages:
         return self
 
     def sql(self, last: str) -> str:
-        return f"WITH {', '.join(self.parts)} {last.format(t=f't{self.n}')}"
+        return f"WITH {', '.join(self.parts)} " + last.replace("{t}", f"t{self.n}")
 
 
 def _amounts_apart(t: str) -> str:
@@ -137,11 +137,69 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut(canonical_lines(table(spark, sf_dir, "recipe_doc"), "rec_no", "pos"), "lines")
 
 
-@query()
+def _excess(t: str) -> str:
+    """A text without the closing brackets at its end that nothing opens."""
+    over = f"({_count('y', ')')} - {_count('y', '(')})"
+    own = _null(_clean(f"coalesce({t}, '')"))
+    return f"list_transform([{own}], lambda y: CASE WHEN {over} > 0 THEN {_null(_minus_closers('y', over))} ELSE y END)[1]"
+
+
+def _without_digits(t: str) -> str:
+    own = _null(_clean(f"coalesce({t}, '')"))
+    return _null(f"trim(regexp_replace(regexp_replace({own}, '\\s+[0-9]+([)]|$)', '\\1', 'g'), '\\s+', ' ', 'g'))")
+
+
+def _normalized(s: Stages) -> Stages:
+    """Adds n_name, n_quantity, n_unit, n_preparation of lines: quantity, unit, name, normalized_name, preparation."""
+    part = lambda c: _null(_clean(f"coalesce({c}, '')"))
+    s.add(raw=f"concat_ws(' ', {part('quantity')}, {part('unit')}, {part('name')})", own="coalesce(name, '')", norm="coalesce(normalized_name, '')")
+    _parsed(s, "raw", "x")
+    _clean_name(s, "own", "e")
+    _clean_name(s, "norm", "f")
+    s.add(chosen=f"coalesce(CASE WHEN {_clean('own')} LIKE '(%' AND {_clean('own')} LIKE '%)' THEN {_null('f_name')} END, {_null('xp_bn')}, {_null('e_name')}, name)")
+    s.add(closed=f"coalesce({_excess('chosen')}, chosen)", told=_null(_without_notes(f"coalesce(xp_bp, {part('preparation')}, '')")))
+    s.add(named=f"coalesce({_without_digits('closed')}, closed)", prepared=_without_digits(_excess("told")))
+    _balanced(s, "named", "prepared", "z")
+    return s.add(n_name="z_bn", n_preparation="z_bp", n_quantity="coalesce(xm_quantity, quantity)", n_unit="coalesce(xm_unit, unit)")
+
+
+def _canonical() -> Stages:
+    """Lines with way, core, prep, compound and issues."""
+    s = Stages("SELECT rec_no, slug AS recipe_slug, recipe_name, nth, x.pos AS position, x.name AS name, x.normalized_name AS normalized_name, x.quantity AS quantity, x.unit AS unit, x.preparation AS preparation FROM (SELECT rec_no, slug, name AS recipe_name, generate_subscripts(ingredients, 1) AS nth, unnest(ingredients) AS x FROM recipe_doc) WHERE x IS NOT NULL")
+    _normalized(s)
+    s.add(base0=_clean("n_name"), parts0="CAST([] AS VARCHAR[])")
+    for i in range(4):
+        inner = f"list_filter(list_transform(regexp_extract_all(base{i}, '[(]([^()]*)[)]', 1), lambda p: {_clean('p')}), lambda p: p <> '')"
+        s.add(**{f"base{i + 1}": _clean(f"regexp_replace(base{i}, '[(][^()]*[)]', ' ', 'g')"), f"parts{i + 1}": f"parts{i} || {inner}"})
+    s.add(kinds=f"list_transform(list_transform(parts4, lambda q: {_NAME.format('q')}), lambda n: {_KIND})", short=_core_sql("base4"))
+    s.add(core=f"left(short, length(short) - length({_LAST.format('short')})) || {_SINGULAR.format(_LAST.format('short'))}", tail=_null(f"regexp_extract(base4, '(?i)(\\s+(?:{'|'.join(W.TAIL_VERBS)})\\b.*)$', 1)"))
+    s.add(every="array_to_string(list_filter([nullif(n_preparation, '')] || list_filter(list_transform(parts4, lambda p, i: CASE WHEN kinds[i] = 'preparation' THEN p END), lambda p: p IS NOT NULL) || [tail], lambda p: p IS NOT NULL), ' ')")
+    plain = f"trim(regexp_replace({_NAME.format('every')}, '\\boptional\\b', '', 'g'))"
+    compounds = "CASE core " + " ".join(f"WHEN '{k}' THEN [{_values(v)}]" for k, v in W.COMPOUNDS.items()) + " END"
+    s.add(prep=_null(f"trim(regexp_replace({plain}, '\\s+', ' ', 'g'), ' -/')"), compound=compounds)
+    out = lambda c: f"({_clean(c)} = '' OR regexp_matches(lower({_clean(c)}), '{'|'.join(W.EXCLUDED)}'))"
+    heading = f"({_clean('n_name')} LIKE '>>%' AND trim(ltrim({_clean('n_name')}, '>')) LIKE '%:')"
+    s.add(way=f"CASE WHEN {heading} THEN 'heading' WHEN {out('base4')} OR {out('core')} THEN 'excluded' WHEN compound IS NOT NULL THEN 'split' WHEN regexp_matches(core, '\\b(or|and/or)\\b') THEN 'review' ELSE 'canonicalized' END")
+    issue = "CASE k WHEN 'optional' THEN 'optional' WHEN 'ambiguous' THEN 'ambiguous_parenthetical' WHEN 'alias' THEN 'alias_parenthetical' END"
+    reason = "CASE way WHEN 'excluded' THEN 'excluded_non_ingredient' WHEN 'split' THEN 'compound_split' WHEN 'review' THEN 'ambiguous_connector' END"
+    return s.add(issues=f"list_sort(list_distinct(list_filter(list_transform(kinds, lambda k: {issue}) || [{reason}], lambda k: k IS NOT NULL)))")
+
+
+_KEPT = f"""SELECT document, position, {_uuid_sql('ingredient', 'normalized_name')} AS ingredient_id, name, normalized_name, quantity, unit, preparation FROM (
+  SELECT rec_no AS document, CAST(row_number() OVER (PARTITION BY rec_no ORDER BY nth, i) AS INTEGER) AS position, v AS name, {_NAME.format('v')} AS normalized_name, CASE WHEN way = 'canonicalized' THEN n_quantity END AS quantity, CASE WHEN way = 'canonicalized' THEN n_unit END AS unit, prep AS preparation FROM (
+    SELECT *, unnest(kept) AS v, generate_subscripts(kept, 1) AS i FROM (SELECT *, CASE way WHEN 'canonicalized' THEN [core] WHEN 'split' THEN compound ELSE [] END AS kept FROM {{t}})))"""
+
+
+@query(_canonical().sql(_KEPT))
 def canonical_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_ingredients(_lines(spark, sf_dir))
 
 
-@query()
+_REVIEW = f"""SELECT {_uuid_sql('recipe', 'recipe_slug')} AS recipe_id, recipe_slug, recipe_name, position, {_clean("concat_ws(' ', nullif(n_quantity, ''), nullif(n_unit, ''), nullif(n_name, ''))")} AS original_text, n_quantity AS quantity, n_unit AS unit, nullif(core, '') AS cleaned_name,
+  coalesce(array_to_string(compound, '|'), '') AS replacements, array_to_string(issues, '|') AS issue_types, way AS resolution FROM {{t}} WHERE way <> 'heading' AND (way <> 'canonicalized' OR len(issues) > 0)"""
+
+
+@query(_canonical().sql(_REVIEW))
 def review_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review_queue(_lines(spark, sf_dir))
+    rows = review_queue(_lines(spark, sf_dir))
+    return rows.withColumns({c: F.array_join(c, "|") for c in ("replacements", "issue_types")})
