@@ -54,4 +54,27 @@ def p7_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p3_found": p3_found, "p3_scales": p3_scales, "p6_found": p6_found, "p7_found": p7_found, "p7_ingredients": p7_ingredients, "p7_columns": p7_columns, "p7_variants": p7_variants}
 _KIND = "SELECT rec_no, '{kind}' AS child_kind, row_number() OVER (PARTITION BY rec_no ORDER BY i) AS child_no, x.{field} AS name, {place} AS position FROM (SELECT rec_no, generate_subscripts({array}, 1) AS i, unnest({array}) AS x FROM recipe_doc) WHERE x IS NOT NULL"
 _KINDS = (("ingredient", "ingredients", "name", "x.pos"), ("instruction", "instructions", "text", "x.pos"), ("category", "categories", "name", "NULL"), ("tag", "tags", "name", "NULL"))
-SQL: dict[str, str] = {"p7_columns": " UNION ALL ".join(_KIND.format(kind=k, array=a, field=f, place=p) for k, a, f, p in _KINDS)}
+_HELD = " UNION ALL ".join(f"SELECT rec_no, '{k}' AS kind, [0] AS path, j->'{a}' AS v FROM doc WHERE json_exists(j, '$.{a}')" for k, a, _, _ in _KINDS) + " UNION ALL " + " UNION ALL ".join(
+    f"SELECT rec_no, '{k}', [1], j->'taxonomy'->'{a}' FROM doc WHERE json_type(j, '$.taxonomy') = 'OBJECT' AND json_exists(j, '$.taxonomy.{a}')" for k, a, _, _ in _KINDS
+)
+_GROUP = "json_type(v) = 'OBJECT' AND json_exists(v, '$.section') AND (" + " OR ".join(f"coalesce(json_type(v, '$.{g}') IN ('NULL', 'ARRAY', 'OBJECT', 'VARCHAR'), false)" for g in ("ingredients", "items", "steps", "instructions", "lines")) + ")"
+_INNER = "coalesce(" + ", ".join(f"nullif(v->'{g}', 'null'::JSON)" for g in ("ingredients", "items", "steps", "instructions", "lines")) + ")"
+#: Nodes of each kind are taken apart until only children are left; path orders them as stored, and a heading group keeps its own path.
+_NESTED = f"""
+WITH RECURSIVE doc AS (SELECT rec_no, CASE WHEN json_type(j, '$.recipe') = 'OBJECT' THEN j->'recipe' ELSE j END AS j FROM (SELECT rec_no, body::JSON AS j FROM (SELECT rec_no, CASE WHEN json_valid(body) THEN body ELSE 'null' END AS body FROM recipe_raw)) WHERE json_type(j) = 'OBJECT'),
+node AS (
+  SELECT rec_no, kind, path, v, CAST(NULL AS INTEGER[]) AS grp, false AS is_group, 0 AS turn FROM ({_HELD})
+  UNION ALL
+  SELECT rec_no, kind, n.path, n.v, CASE WHEN n.is_group THEN n.path ELSE grp END, n.is_group, turn + 1 FROM (
+    SELECT rec_no, kind, grp, turn, unnest(CASE
+      WHEN json_type(v) = 'VARCHAR' AND left(trim(v->>'$'), 1) IN ('[', '{{') AND json_valid(v->>'$') THEN [{{'path': path, 'v': (v->>'$')::JSON, 'is_group': false}}]
+      WHEN json_type(v) = 'ARRAY' THEN list_transform(from_json(v, '["JSON"]'), lambda x, i: {{'path': path || [i::INTEGER], 'v': x, 'is_group': false}})
+      WHEN json_type(v) = 'OBJECT' AND len(json_keys(v)) > 0 AND len(list_filter(json_keys(v), lambda k: NOT regexp_full_match(k, '[0-9]+'))) = 0 THEN list_transform(json_keys(v), lambda k: {{'path': path || [k::INTEGER], 'v': json_extract(v, '$."' || k || '"'), 'is_group': false}})
+      WHEN {_GROUP} THEN [{{'path': path || [0], 'v': {_INNER}, 'is_group': true}}] ELSE [] END) AS n FROM node WHERE v IS NOT NULL)),
+leaf AS (SELECT * FROM node WHERE v IS NOT NULL AND (json_type(v) IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'BOOLEAN') OR json_type(v) = 'VARCHAR' AND trim(v->>'$') <> '' AND NOT (left(trim(v->>'$'), 1) IN ('[', '{{') AND json_valid(v->>'$'))
+  OR json_type(v) = 'OBJECT' AND len(json_keys(v)) > 0 AND len(list_filter(json_keys(v), lambda k: NOT regexp_full_match(k, '[0-9]+'))) > 0 AND NOT ({_GROUP}))),
+groups AS (SELECT rec_no, kind, path AS grp, row_number() OVER (PARTITION BY rec_no, kind ORDER BY path) AS section_no FROM node WHERE is_group)
+SELECT rec_no, kind AS child_kind, coalesce(section_no, 0) AS section_no, row_number() OVER (PARTITION BY rec_no, kind ORDER BY path) AS child_no FROM leaf LEFT JOIN groups USING (rec_no, kind, grp)
+UNION ALL SELECT rec_no, child_kind, 0, child_no FROM ({{columns}})"""
+_COLUMNS = " UNION ALL ".join(_KIND.format(kind=k, array=a, field=f, place=p) for k, a, f, p in _KINDS)
+SQL: dict[str, str] = {"p7_columns": _COLUMNS, "p7_found": _NESTED.replace("{columns}", _COLUMNS)}
