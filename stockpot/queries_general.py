@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpot.operators.nested import common_rows, flatten_columns, flatten_json, variant_tables
-from stockpot.operators.packed import explode_packed, joined_names
+from stockpot.operators.packed import _ACCENTED, explode_packed, joined_names
 from stockpot.operators.quantities import calibrate, convert_quantities, statements
 from stockpot.session import cut, table
 
@@ -78,3 +78,35 @@ SELECT rec_no, kind AS child_kind, coalesce(section_no, 0) AS section_no, row_nu
 UNION ALL SELECT rec_no, child_kind, 0, child_no FROM ({{columns}})"""
 _COLUMNS = " UNION ALL ".join(_KIND.format(kind=k, array=a, field=f, place=p) for k, a, f, p in _KINDS)
 SQL: dict[str, str] = {"p7_columns": _COLUMNS, "p7_found": _NESTED.replace("{columns}", _COLUMNS)}
+
+
+def _packed_sql() -> str:
+    """The values of packed fields by a scan for tokens: names, brackets, numbers, quoted texts, words, delimiters, single characters."""
+    mark = "[,;/|&+•·\\n\\r\\t]"
+    delimiter = rf"\s*{mark}\s*(?:and\s+)?|\s+and\s+"
+    listed = ("bread-and-butter pickle", "half and half", "50/50 flour blend", "macaroni and cheese mix", "macaroni and cheese")
+    names = "|".join("".join(r"[\s_-]+" if c in " -" else f"[{c}{_ACCENTED.get(c, '')}]" for c in n) + r"(?:e?s)?\b" for n in listed)
+    brackets = r"[(](?:[^()]|[(](?:[^()]|[(][^()]*[)])*[)])*[)]|\[[^\[\]]*\]|[{][^{}]*[}]"
+    count = "(?:one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|an?|[0-9]+)"
+    numbers = rf"[0-9]+(?:[.,/][0-9]+)+|\b{count}\s+and\s+(?:(?:an?|one)\s+)?(?:half|third|quarter|[0-9]+/[0-9]+)\b"
+    quoted = '"(?:[^"]|"")*"|' + "''(?:[^'']|'''')*''"
+    pattern = rf"(?is){names}|{brackets}|{numbers}|{quoted}|\p{{L}}+(?:''\p{{L}}+)*|{delimiter}|."
+    near = lambda t, n: f"levenshtein(lower(coalesce({t}, '')), '{n}') <= {1 if len(n) <= 4 else 2}"
+    typo = " OR ".join(f"({near('t[i - 1]', a)} AND {near('t[i + 1]', b)})" for a, b in (("half", "half"), ("macaroni", "cheese")))
+    trimmed = lambda x: rf"regexp_replace({x}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+    whole = "array_to_string(list_transform(range(lo, hi), lambda j: t[j]), '')"
+    bare = trimmed("x")
+    return rf"""
+WITH last AS (SELECT * FROM ingredient_line QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY loaded_at DESC NULLS LAST, name DESC NULLS LAST, preparation DESC NULLS LAST) = 1),
+f AS (SELECT line_id, 'name' AS field_name, name AS text FROM last UNION ALL SELECT line_id, 'preparation', preparation FROM last),
+tok AS (SELECT line_id, field_name, regexp_extract_all(text, '{pattern}') AS t FROM f WHERE text IS NOT NULL),
+cut AS (SELECT *, list_filter(range(1, len(t) + 1), lambda i: regexp_full_match(t[i], '(?is){delimiter}') AND NOT (regexp_full_match(t[i], '(?is)\s+and\s+') AND ({typo}))) AS d FROM tok),
+span AS (SELECT line_id, field_name, t, unnest([0] || d) + 1 AS lo, unnest(d || [len(t) + 1]) AS hi FROM cut WHERE len(d) > 0),
+raw AS (SELECT line_id, field_name, lo, {whole} AS x FROM span),
+item AS (SELECT line_id, field_name, lo, CASE WHEN regexp_full_match({bare}, '"(?:[^"]|"")*"') THEN {trimmed(f"replace({bare}[2:-2], '\"\"', '\"')")} WHEN regexp_full_match({bare}, '''(?:[^'']|'''')*''') THEN {trimmed(f"replace({bare}[2:-2], '''''', '''')")} ELSE {bare} END AS item FROM raw),
+kept AS (SELECT * FROM item WHERE item <> '' AND NOT regexp_matches(item, '(?i)^[0-9]+\s+\w+\s+of\s+[0-9][0-9.,/]*\s*-?\s*\w+[.]?\s+each[.]?(?:\s*[(].*[)])?$')),
+n AS (SELECT *, count(*) OVER (PARTITION BY line_id, field_name) AS n, row_number() OVER (PARTITION BY line_id, field_name ORDER BY lo) AS item_no FROM kept)
+SELECT line_id, field_name, CAST(item_no AS INTEGER) AS item_no, item FROM n WHERE n > 1"""
+
+
+SQL["p6_found"] = _packed_sql()
