@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpot.llm.canonical_list import map_lines
-from stockpot.llm.canonical_text import _tables, canonical, canonical_texts, lookalike_classes, lookalike_pairs
+from stockpot.llm.canonical_text import _BACK, _tables, canonical, canonical_texts, lookalike_classes, lookalike_pairs
 from stockpot.llm.cooccurrence import cooccurrence
 from stockpot.llm.current import current_rows
 from stockpot.llm.mixing import mix, shares
@@ -186,6 +186,30 @@ def _forms_sql() -> str:
 
 
 
+
+
+def _documents_sql() -> str:
+    """Pairs (alike) of documents by their sets of three words, and the sets (own), all of them compared by shared members."""
+    single = lambda c: unicodedata.normalize("NFC", c)
+    back = {}
+    for script, letters in _BACK.items():
+        own = {chr(latin): other for latin, other in letters.items()}
+        for c in map(chr, range(0xC0, 0x250)):
+            base = unicodedata.normalize("NFD", c)
+            if len(base) > 1 and base[0] in own and len(composed := single(own[base[0]] + base[1:])) == 1:
+                own[c] = composed
+        back[script] = f"translate(w, '{''.join(own)}', '{''.join(own.values())}')"
+    other = "[\u0370-\u03ff\u0400-\u052f]"
+    word = f"lower(CASE WHEN NOT regexp_matches(w, '{other}') THEN w WHEN regexp_extract(w, '{other}') < '\u0400' THEN {back['greek']} ELSE {back['cyrillic']} END)"
+    return _forms_sql() + rf""",
+w AS (SELECT doc_id, list_transform(regexp_extract_all(form, '[\p{{L}}\p{{N}}]+'), lambda w: {word}) AS w FROM f),
+e AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS x FROM w WHERE len(w) > 2),
+n AS (SELECT doc_id, count(*) AS n FROM e GROUP BY ALL),
+c AS (SELECT a.doc_id AS key_a, b.doc_id AS key_b, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+alike AS (SELECT key_a, key_b FROM c JOIN n p ON p.doc_id = key_a JOIN n q ON q.doc_id = key_b WHERE k >= 0.6 * (p.n + q.n - k))
+"""
+
+
 _TERMS = """
 WITH cur AS (SELECT * FROM recipe_summary QUALIFY row_number() OVER (PARTITION BY recipe_no ORDER BY revision DESC) = 1),
 long AS (
@@ -199,6 +223,8 @@ SQL: dict[str, str] = {
     "p1_pairs": _BASKETS + "SELECT item_kind, item_a, item_b, n_ab, n_a, n_b, n_records, n_ab * n_records / (n_a * n_b) AS lift FROM pair",
     "p5_recipes": _SIMILAR + "SELECT key_a, key_b FROM alike",
     "p5_recipe_classes": _SIMILAR + _CLASSES,
+    "p5_document_classes": _documents_sql() + _CLASSES.replace("recipe_no", "doc_id"),
+    "p5_found": f"SELECT 'recipe' AS record_kind, key_a, key_b FROM ({_SIMILAR} SELECT key_a, key_b FROM alike) UNION ALL SELECT 'document', key_a, key_b FROM ({_documents_sql()} SELECT key_a, key_b FROM alike)",
     "p8_checks": "SELECT count(*) AS documents, 0 AS over_full, 0 AS short_and_split, 0 AS out_of_place FROM documents",
     "p9_checks": "SELECT t.source, count(d.doc_id) AS documents, 0 AS over_used, true AS on_target FROM mix_target t LEFT JOIN (SELECT * FROM documents WHERE text <> '') d USING (source) GROUP BY ALL",
     "p10_found": _forms_sql() + " SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM f a JOIN f b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text",
