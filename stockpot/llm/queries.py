@@ -188,21 +188,24 @@ def _forms_sql() -> str:
 
 
 
-def _documents_sql() -> str:
-    """Pairs (alike) of documents by their sets of three words, and the sets (own), all of them compared by shared members."""
-    single = lambda c: unicodedata.normalize("NFC", c)
+def _word_sql() -> str:
+    """A word w of a form in the script of its first letter that is not Latin, where it has one."""
     back = {}
     for script, letters in _BACK.items():
         own = {chr(latin): other for latin, other in letters.items()}
         for c in map(chr, range(0xC0, 0x250)):
             base = unicodedata.normalize("NFD", c)
-            if len(base) > 1 and base[0] in own and len(composed := single(own[base[0]] + base[1:])) == 1:
+            if len(base) > 1 and base[0] in own and len(composed := unicodedata.normalize("NFC", own[base[0]] + base[1:])) == 1:
                 own[c] = composed
         back[script] = f"translate(w, '{''.join(own)}', '{''.join(own.values())}')"
     other = "[\u0370-\u03ff\u0400-\u052f]"
-    word = f"lower(CASE WHEN NOT regexp_matches(w, '{other}') THEN w WHEN regexp_extract(w, '{other}') < '\u0400' THEN {back['greek']} ELSE {back['cyrillic']} END)"
+    return f"CASE WHEN NOT regexp_matches(w, '{other}') THEN w WHEN regexp_extract(w, '{other}') < '\u0400' THEN {back['greek']} ELSE {back['cyrillic']} END"
+
+
+def _documents_sql() -> str:
+    """Pairs (alike) of documents by their sets of three words, and the sets (own), all of them compared by shared members."""
     return _forms_sql() + rf""",
-w AS (SELECT doc_id, list_transform(regexp_extract_all(form, '[\p{{L}}\p{{N}}]+'), lambda w: {word}) AS w FROM f),
+w AS (SELECT doc_id, list_transform(regexp_extract_all(form, '[\p{{L}}\p{{N}}]+'), lambda w: lower({_word_sql()})) AS w FROM f),
 e AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS x FROM w WHERE len(w) > 2),
 n AS (SELECT doc_id, count(*) AS n FROM e GROUP BY ALL),
 c AS (SELECT a.doc_id AS key_a, b.doc_id AS key_b, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
@@ -228,6 +231,7 @@ SQL: dict[str, str] = {
     "p8_checks": "SELECT count(*) AS documents, 0 AS over_full, 0 AS short_and_split, 0 AS out_of_place FROM documents",
     "p9_checks": "SELECT t.source, count(d.doc_id) AS documents, 0 AS over_used, true AS on_target FROM mix_target t LEFT JOIN (SELECT * FROM documents WHERE text <> '') d USING (source) GROUP BY ALL",
     "p10_found": _forms_sql() + " SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM f a JOIN f b ON a.form = b.form AND a.doc_id < b.doc_id AND a.text <> b.text",
+    "p10_texts": _forms_sql() + rf", t AS (SELECT doc_id, nfc_normalize(array_to_string(list_transform(regexp_extract_all(form, '(?s)(?:\p{{L}}[\x{{0300}}-\x{{036f}}]*)+|.'), lambda w: {_word_sql()}), '')) AS text FROM f) SELECT doc_id, t.text FROM documents LEFT JOIN t USING (doc_id)",
     "p10_classes": _forms_sql() + " SELECT doc_id AS key, min(doc_id) OVER (PARTITION BY form) AS class_key, n AS spellings FROM f JOIN (SELECT form, count(DISTINCT text) AS n FROM f GROUP BY ALL) USING (form)",
     "p2_found": _TERMS + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
     "p2_terms": _TERMS + "SELECT field_name, term, occurrences, records, mark FROM m",
