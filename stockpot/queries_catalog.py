@@ -12,7 +12,7 @@ from stockpot.functions import text as X
 from stockpot.functions.ids import content_hash, entity_id
 from stockpot.operators import indexes as I
 from stockpot.operators import search as S
-from stockpot.operators.edit import edit_stats, merge_ids, named_objects, repair
+from stockpot.operators.edit import edit_stats, merge_ids, named_objects
 from stockpot.operators.ingredients import FIELDS
 from stockpot.operators.validate import violations
 from stockpot.plans.catalog import build_catalog, manifest
@@ -349,10 +349,3 @@ def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents_by_slug(read_documents(spark, folder))
     names = F.transform(F.filter("ingredients", lambda x: x.isNotNull()), lambda x: F.coalesce(x["name"], F.lit("NULL")))
     return rows.select("slug", number.alias("rec_no"), "name", "revision", F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]")).alias("ingredients"))
-
-
-@query()
-def repaired_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents repaired against themselves: what is filled is what their own names tell."""
-    docs = table(spark, sf_dir, "recipe_doc").select("rec_no", "id", "slug", "schema_version", "updated_at", "revision", "difficulty", "categories", "tags", F.expr("filter(ingredients, x -> x is not null)").alias("ingredients"))
-    return repair(docs, docs).select("rec_no", F.size("repairs").alias("n_repairs"), F.array_join("repairs", "; ").alias("repairs"))

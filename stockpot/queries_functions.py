@@ -170,8 +170,13 @@ def image_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WHERE = "lower(concat_ws(' ', nullif(" + _PLAIN.format("normalized_name") + ", ''), nullif(" + _PLAIN.format("name") + ", '')))"
 _HINT = "CASE " + " ".join(f"WHEN contains({_WHERE}, '{n}') THEN '{h}'" for n, h in W.UNIT_HINTS) + " ELSE 'piece' END"
-@query(f"""SELECT line_id, CASE WHEN q <> '' THEN CASE WHEN NOT {MANY_SQL} THEN hint WHEN regexp_matches(hint, 'f$') THEN left(hint, -1) || 'ves' ELSE hint || 's' END END AS unit FROM (
-  SELECT line_id, lower({_PLAIN.format("coalesce(quantity, '')")}) AS q, {_HINT} AS hint FROM (SELECT DISTINCT line_id, quantity, normalized_name, name FROM ingredient_line))""")
+def _units_sql(rows: str) -> str:
+    """The columns of some rows and the unit that their quantity and name tell."""
+    return f"""SELECT * EXCLUDE (q, hint), CASE WHEN q <> '' THEN CASE WHEN NOT {MANY_SQL} THEN hint WHEN regexp_matches(hint, 'f$') THEN left(hint, -1) || 'ves' ELSE hint || 's' END END AS told FROM (
+  SELECT *, lower({_PLAIN.format("coalesce(quantity, '')")}) AS q, {_HINT} AS hint FROM ({rows}))"""
+
+
+@query(f"SELECT line_id, told AS unit FROM ({_units_sql('SELECT DISTINCT line_id, quantity, normalized_name, name FROM ingredient_line')})")
 def inferred_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "ingredient_line").select("line_id", "quantity", "normalized_name", "name").distinct()
     return rows.select("line_id", C.inferred_unit(F.col("quantity"), F.col("normalized_name"), F.col("name")).alias("unit"))
@@ -181,10 +186,17 @@ _TELLS = "regexp_matches(lower({0}), '(?:^|[^a-z])(?:" + "|".join(W.PREPARATIONS
 _SEP = "CASE WHEN contains(b, ',') THEN ',' WHEN contains(b, ' - ') THEN ' - ' WHEN contains(b, ' – ') THEN ' – ' END"
 
 
-@query(f"""SELECT name, nullif(array_to_string(list_transform(list_filter(list_transform(parts, lambda p, i: CASE WHEN list_position(list_transform(parts, lambda y: lower({_PLAIN.format('y')})), lower({_PLAIN.format('p')})) = i THEN lower({_PLAIN.format('p')}) END), lambda p: p IS NOT NULL), lambda p: p), ', '), '') AS preparation FROM (
+
+def _preparations_sql(rows: str) -> str:
+    """name and preparation, what the names of some rows tell of one."""
+    low = lambda x: f"lower({_PLAIN.format(x)})"
+    return f"""SELECT name, nullif(array_to_string(list_filter(list_transform(parts, lambda p, i: CASE WHEN list_position(list_transform(parts, lambda y: {low('y')}), {low('p')}) = i THEN {low('p')} END), lambda p: p IS NOT NULL), ', '), '') AS preparation FROM (
   SELECT name, list_filter(list_filter(regexp_extract_all(t, '[(]([^()]*)[)]', 1), lambda p: {_TELLS.format('p')}) || [CASE WHEN {_TELLS.format('rest')} THEN rest END, nullif(regexp_extract(b, '(?i)(\\b(?:{'|'.join(W.REPAIR_TAIL_VERBS)})\\b.*)$', 1), '')], lambda p: p IS NOT NULL) AS parts FROM (
     SELECT *, CASE WHEN {_SEP} IS NOT NULL THEN substr(b, instr(b, {_SEP}) + length({_SEP})) END AS rest FROM (
-      SELECT name, t, regexp_replace(t, '[(][^()]*[)]', '', 'g') AS b FROM (SELECT name, {_PLAIN.format('name')} AS t FROM (SELECT DISTINCT concat_ws(', ', name, preparation) AS name FROM ingredient_line)))))""")
+      SELECT name, t, regexp_replace(t, '[(][^()]*[)]', '', 'g') AS b FROM (SELECT name, {_PLAIN.format('name')} AS t FROM ({rows})))))"""
+
+
+@query(_preparations_sql("SELECT DISTINCT concat_ws(', ', name, preparation) AS name FROM ingredient_line"))
 def inferred_preparations(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = table(spark, sf_dir, "ingredient_line").select(F.concat_ws(", ", "name", "preparation").alias("name")).distinct()
     return typed.select("name", C.inferred_preparation(F.col("name")).alias("preparation"))
@@ -311,3 +323,27 @@ def document_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("rec_no") % 4
     after = docs.select("rec_no", "id", F.when((n == 1) | (n == 2), F.concat("name", F.lit("!"))).otherwise(F.col("name")).alias("name"), F.when(n == 2, F.concat(F.coalesce("cuisine", F.lit("")), F.lit("!"))).otherwise(F.col("cuisine")).alias("cuisine"), F.when(n == 3, F.coalesce("servings", F.lit(0)) + 1).otherwise(F.col("servings")).alias("servings"), (F.col("revision") + 1).alias("revision"))
     return changed_fields(docs, after, "rec_no")
+
+
+def _repairs_sql() -> str:
+    """The log of repairs of documents against themselves: misshapen lists, names of difficulties, units and preparations that names tell."""
+    good = lambda a: f"({a} IS NOT NULL AND coalesce(len([x FOR x IN {a} IF x IS NULL OR coalesce(x.id, '') = '' OR coalesce(x.slug, '') = '' OR coalesce(x.name, '') = '']), 0) = 0)"
+    blank = lambda x: f"coalesce({_PLAIN.format(x)}, '') = ''"
+    quoted = lambda x: f"chr(39) || {x} || chr(39)"
+    known = f"coalesce({_lookup_sql(W.REPAIR_DIFFICULTY, 'lower(trim(difficulty))')}, difficulty)"
+    lines = "SELECT rec_no, nth, x.name AS name, x.normalized_name AS normalized_name, x.quantity AS quantity, x.unit AS unit, x.preparation AS stated FROM (SELECT rec_no, generate_subscripts(ingredients, 1) AS nth, unnest(ingredients) AS x FROM recipe_doc) WHERE x IS NOT NULL"
+    return f"""WITH u AS ({_units_sql(lines)}), p AS ({_preparations_sql('SELECT DISTINCT name FROM u')}),
+e AS (
+  SELECT rec_no, 0 AS nth, 0 AS k, 'restored categories because model returned an invalid shape' AS said FROM recipe_doc WHERE NOT {good('categories')}
+  UNION ALL SELECT rec_no, 0, 1, 'restored tags because model returned an invalid shape' FROM recipe_doc WHERE NOT {good('tags')}
+  UNION ALL SELECT rec_no, 0, 2, 'normalized difficulty from ' || {quoted('difficulty')} || ' to ' || {quoted(known)} FROM recipe_doc WHERE difficulty <> {known}
+  UNION ALL SELECT rec_no, nth, 3, 'filled unit for ingredient ' || {quoted('name')} FROM u WHERE {blank('unit')} AND told IS NOT NULL
+  UNION ALL SELECT rec_no, nth, 4, 'filled preparation for ingredient ' || {quoted('name')} FROM u JOIN p USING (name) WHERE {blank('stated')} AND preparation IS NOT NULL)
+SELECT rec_no, count(said) AS n_repairs, coalesce(string_agg(said, '; ' ORDER BY nth, k), '') AS repairs FROM recipe_doc LEFT JOIN e USING (rec_no) GROUP BY rec_no"""
+
+
+@query(_repairs_sql())
+def repaired_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repaired against themselves: what is filled is what their own names tell."""
+    docs = table(spark, sf_dir, "recipe_doc").select("rec_no", "id", "slug", "schema_version", "updated_at", "revision", "difficulty", "categories", "tags", F.expr("filter(ingredients, x -> x is not null)").alias("ingredients"))
+    return repair(docs, docs).select("rec_no", F.size("repairs").alias("n_repairs"), F.array_join("repairs", "; ").alias("repairs"))
