@@ -15,7 +15,7 @@ from stockpot.queries_catalog import QUERIES
 from stockpot.sources import documents as D
 from stockpot.sources.documents import dump_rows, read_documents, read_hashes, read_url_list
 from stockpot.sources.fetch import crawl, fetch_pages, store_images
-from stockpot.streaming.manifests import CHANGE, apply_changes, follow, read_changes
+from stockpot.streaming.manifests import CHANGE, apply_changes, follow, read_changes, read_state
 
 DOC = (
     "path string, slug string, name string, recipe_type string, brief_description string, cuisine string, image_url string, difficulty string, servings int, cooking_time_minutes int, preparation_time_minutes int, "
@@ -326,10 +326,13 @@ def test_files(spark, tmp_path):
 
 def test_manifest_stream(spark, tmp_path):
     changes = [[(1, "upsert", "a", "h1"), (1, "upsert", "b", "h1")], [(3, "remove", "b", None), (2, "upsert", "b", "h2")], [(2, "upsert", "a", "h2"), (2, "upsert", "b", "late")]]
-    for i, rows in enumerate(changes):
+    for rows in changes:
         spark.createDataFrame(rows, CHANGE).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        follow(read_changes(spark, str(tmp_path / "in")), str(tmp_path / "state"), str(tmp_path / "check")).awaitTermination()
-        state = {r.id: (r.sequence, r.digest, r.gone) for r in spark.read.parquet(str(tmp_path / f"state/{i}")).collect()}
+        follow(read_changes(spark, str(tmp_path / "in")), str(tmp_path / "state"), str(tmp_path / "check"), parts=8).awaitTermination()
+        state = {r.id: (r.sequence, r.digest, r.gone) for r in read_state(spark, str(tmp_path / "state")).collect()}
+    # the second batch is about b alone, so the part of a has no version of it
+    assert sorted(p.name for p in (tmp_path / "state").glob("part=*/version=*")) == ["version=0", "version=0", "version=1", "version=2", "version=2"]
+    assert {r.id: r.sequence for r in read_state(spark, str(tmp_path / "state"), 0).collect()} == {"a": 1, "b": 1}
     assert state == {"a": (2, "h2", False), "b": (3, None, True)}
     empty = spark.createDataFrame([], "id string, sequence long, digest string, gone boolean")
     assert apply_changes(empty, spark.createDataFrame([], CHANGE)).count() == 0
