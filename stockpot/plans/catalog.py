@@ -33,8 +33,13 @@ def ingredient_rows(docs: DataFrame, key: str, place: str = "position") -> DataF
 
 
 def canonical_lines(docs: DataFrame, key: str, place: str = "position") -> DataFrame:
-    """The ingredient rows normalised and made canonical, with kept and review."""
-    return canonicalize_lines(normalize_lines(ingredient_rows(docs, key, place)))
+    """The ingredient rows normalised and made canonical, with kept and review.
+
+    Reading a line costs far more than moving it, so lines are dealt out by their document
+    first; the number is that of the session, as few large files would else be few tasks.
+    """
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return canonicalize_lines(normalize_lines(ingredient_rows(docs, key, place).repartition(tasks, "_key")))
 
 
 def canonical_ingredients(lines: DataFrame) -> DataFrame:
