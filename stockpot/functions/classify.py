@@ -108,6 +108,7 @@ def infer_difficulty(steps: Column, preparation: Column, cooking: Column, rest:
     active = zero(preparation) + zero(cooking)
     total = active + F.floor((zero(rest) + 3) / 4)
     over = lambda s, t, a: (steps >= s) | (total >= t) | (active >= a)
+    # Steps, minutes in all and active minutes from which each begins.
     return F.when(over(14, 150, 120), "expert").when(over(10, 90, 75), "hard").when(over(6, 40, 30), "medium").otherwise("easy")
 
 

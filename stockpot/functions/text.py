@@ -120,7 +120,7 @@ def core_name(text: Column) -> Column:
         name = F.trim(F.regexp_replace(name, tail, ""))
     name = F.regexp_replace(name, rf"^(?:(?:{'|'.join(LEADING_WORDS)})(?:\s+|$))+", "")
     name = F.trim(F.regexp_replace(name, TAIL, ""))
-    words = F.filter(F.split(name, r"\s+"), lambda w: (w != "") & ~w.isin(DROPPED_WORDS))
+    words = F.filter(F.split(name, r"\s+"), lambda w: (w != "") & ~w.isin(*DROPPED_WORDS))
     name = F.trim(F.regexp_replace(F.array_join(words, " "), r"\bof$", ""))
     return singularize_last(F.btrim(name, F.lit(" -/")))
 

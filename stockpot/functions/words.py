@@ -16,10 +16,15 @@ FRACTIONS = {
 
 # Units known when a catalog is built; pages are parsed without pack and packs.
 UNITS = (
-    "can cans clove cloves cup cups gram grams g kg kilogram kilograms lb lbs ounce ounces oz package packages pack packs piece pieces "
-    "pinch pinches pound pounds sprig sprigs tablespoon tablespoons tbsp teaspoon teaspoons tsp"
-).split()
-PAGE_UNITS = [u for u in UNITS if u not in ("pack", "packs")]
+    "can", "cans", "clove", "cloves", "cup", "cups", "gram", "grams", "g", "kg", "kilogram", "kilograms", "lb", "lbs", "ounce", "ounces",
+    "oz", "package", "packages", "pack", "packs", "piece", "pieces", "pinch", "pinches", "pound", "pounds", "sprig", "sprigs", "tablespoon", "tablespoons", "tbsp",
+    "teaspoon", "teaspoons", "tsp",
+)
+PAGE_UNITS = (
+    "can", "cans", "clove", "cloves", "cup", "cups", "gram", "grams", "g", "kg", "kilogram", "kilograms", "lb", "lbs", "ounce", "ounces",
+    "oz", "package", "packages", "piece", "pieces", "pinch", "pinches", "pound", "pounds", "sprig", "sprigs", "tablespoon", "tablespoons", "tbsp", "teaspoon", "teaspoons",
+    "tsp",
+)
 
 # Phrases of an amount before a name, tried in this order.
 AMOUNT_PHRASES = (
@@ -28,22 +33,35 @@ AMOUNT_PHRASES = (
 )
 
 # Words that are dropped before a name, and words that are dropped anywhere.
-LEADING_WORDS = "additional another bit bunch dash few fresh head heads hint large medium piece pieces pack raw small thumb thumbs whole".split()
-DROPPED_WORDS = "also around best length optional".split()
+LEADING_WORDS = (
+    "additional", "another", "bit", "bunch", "dash", "few", "fresh", "head", "heads", "hint", "large", "medium", "piece", "pieces", "pack", "raw",
+    "small", "thumb", "thumbs", "whole",
+)
+DROPPED_WORDS = (
+    "also", "around", "best", "length", "optional",
+)
 
-# Words that tell of a preparation; a catalog build knows head and heads besides.
+# Words that tell of a preparation, when a document is repaired and when a catalog is built.
 PREPARATIONS = (
-    "beaten boiled butterflied butterfly chopped cleaned cracked crushed cubed cut deboned deveined diced drained filleted grated ground gutted "
-    "halved knotted mashed minced peeled pitted quartered removed scaled scales seeded shelled shredded sliced soaked softened trimmed wedged"
-).split()
-BUILD_PREPARATIONS = [*PREPARATIONS, "head", "heads"]
+    "beaten", "boiled", "butterflied", "butterfly", "chopped", "cleaned", "cracked", "crushed", "cubed", "cut", "deboned", "deveined", "diced", "drained", "filleted", "grated",
+    "ground", "gutted", "halved", "knotted", "mashed", "minced", "peeled", "pitted", "quartered", "removed", "scaled", "scales", "seeded", "shelled", "shredded", "sliced",
+    "soaked", "softened", "trimmed", "wedged",
+)
+BUILD_PREPARATIONS = (
+    "beaten", "boiled", "butterflied", "butterfly", "chopped", "cleaned", "cracked", "crushed", "cubed", "cut", "deboned", "deveined", "diced", "drained", "filleted", "grated",
+    "ground", "gutted", "halved", "knotted", "mashed", "minced", "peeled", "pitted", "quartered", "removed", "scaled", "scales", "seeded", "shelled", "shredded", "sliced",
+    "soaked", "softened", "trimmed", "wedged", "head", "heads",
+)
 
 # Verbs that begin a trailing preparation; repair doesn't know knotted.
 TAIL_VERBS = (
-    "cut into", "cut in", "cut to", "chopped", "cleaned", "cubed", "diced", "gutted", "julienned", "knotted", "minced", "peeled", "pitted",
-    "quartered", "scaled", "seeded", "shelled", "shredded", "sliced", "trimmed", "wedged",
+    "cut into", "cut in", "cut to", "chopped", "cleaned", "cubed", "diced", "gutted", "julienned", "knotted", "minced", "peeled", "pitted", "quartered", "scaled", "seeded",
+    "shelled", "shredded", "sliced", "trimmed", "wedged",
+)
+REPAIR_TAIL_VERBS = (
+    "cut into", "cut in", "cut to", "chopped", "cleaned", "cubed", "diced", "gutted", "julienned", "minced", "peeled", "pitted", "quartered", "scaled", "seeded", "shelled",
+    "shredded", "sliced", "trimmed", "wedged",
 )
-REPAIR_TAIL_VERBS = tuple(v for v in TAIL_VERBS if v != "knotted")
 
 # Compounds that may be split, with their parts.
 COMPOUNDS = {

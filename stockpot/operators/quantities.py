@@ -45,7 +45,11 @@ SPELLINGS = {
 # Spellings in which the case of the letter counts.
 CASED = {"T": "tbsp", "t": "tsp", "T.": "tbsp", "t.": "tsp"}
 # Words for packages.
-PACKAGES = "can cans tin tins jar jars box boxes pack packs packet packets package packages pkg pkgs pouch pouches sachet sachets bottle bottles bag bags carton cartons tub tubs container containers envelope envelopes stick sticks block blocks tube tubes".split()
+PACKAGES = (
+    "can", "cans", "tin", "tins", "jar", "jars", "box", "boxes", "pack", "packs", "packet", "packets", "package", "packages", "pkg", "pkgs",
+    "pouch", "pouches", "sachet", "sachets", "bottle", "bottles", "bag", "bags", "carton", "cartons", "tub", "tubs", "container", "containers", "envelope", "envelopes",
+    "stick", "sticks", "block", "blocks", "tube", "tubes",
+)
 # Numbers and parts written as words.
 NUMBER_WORDS = {"one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10, "eleven": 11, "twelve": 12}
 PART_WORDS = {"half": 2, "halves": 2, "third": 3, "thirds": 3, "quarter": 4, "quarters": 4, "fourth": 4, "fourths": 4, "eighth": 8, "eighths": 8}

@@ -80,6 +80,28 @@ def route(candidates: DataFrame, errors: Column, retried: Column) -> DataFrame:
     return candidates.withColumn("route", F.when(F.size(errors) == 0, "valid").when(~retried, "retry").otherwise("manual"))
 
 
+def improve(documents: DataFrame, call: Callable[[str], str], model: str, instructions: str, check: Callable[[DataFrame], DataFrame], key: str = "id") -> DataFrame:
+    """key, recipe, summary, errors, route of documents (key, document as JSON text) that a model improves.
+
+    check: from key and recipe to key and errors (array). A reply that can't be read or breaks
+    a rule is asked for once more, with what is wrong with it; what stays so is left to people.
+    """
+
+    def turn(requests: DataFrame, name: str) -> DataFrame:
+        replied = cut(ask(requests, call, key), name)
+        read = replied.select(key, parsed_reply(F.col("content")).alias("_r")).select(key, "_r.*")
+        found = read.join(check(read.where("error is null").select(key, "recipe")).select(key, F.col("errors").alias("_e")), key, "left")
+        none = F.array().cast("array<string>")
+        return cut(found.select(key, "recipe", "summary", F.when(F.col("error").isNotNull(), F.array("error")).otherwise(F.coalesce("_e", none)).alias("errors")), name)
+
+    first = turn(documents.select(key, request_payload(F.col("document"), model, instructions).alias("payload")), "first")
+    wrong = first.where(F.size("errors") > 0)
+    again = wrong.join(documents.select(key, "document"), key).select(key, request_payload(F.coalesce("recipe", "document"), model, instructions, F.array_join("errors", "\n")).alias("payload"))
+    second = turn(again, "second")
+    done = first.where(F.size("errors") == 0).withColumn("_again", F.lit(False)).unionByName(second.withColumn("_again", F.lit(True)))
+    return route(done, F.col("errors"), F.col("_again")).drop("_again")
+
+
 def work_through(items: DataFrame, state: DataFrame, work: Callable[[DataFrame], DataFrame], batch: int = 1_000, key: str = "id") -> DataFrame:
     """The state (kind, id, seq) after all items that it lacks were worked on, a batch after the other in the order of their keys.
 

@@ -112,14 +112,14 @@ def _flat(value: Any) -> list[str]:
     return [] if value is None else [str(value)]
 
 
-def _sections(container: Node | None) -> dict[str, list[str]]:
+def _sections(container: Node | None, headings: tuple[str, ...] = SECTIONS) -> dict[str, list[str]]:
     """The texts of list items and paragraphs below each heading of interest, up to the next heading beside it."""
     found: dict[str, list[str]] = {}
     if container is None:
         return found
     for heading in (n for n in container.walk() if re.fullmatch("h[1-6]", n.tag)):
         title = _clean(heading.text()).lower()
-        if title not in SECTIONS or title in found:
+        if title not in headings or title in found:
             continue
         beside = heading.parent.children
         items: dict[str, None] = {}
@@ -135,7 +135,17 @@ def _sections(container: Node | None) -> dict[str, list[str]]:
     return found
 
 
-def read_page(page: str | None) -> dict[str, Any]:
+def find_container(nodes: list[Node], selector: str | None = None, prefix: str = CONTAINER) -> Node | None:
+    """The element that holds the recipe: the first that a selector (#id, .class or a tag) tells, else by the beginning of its id."""
+    if selector:
+        tells = {"#": lambda n: n.attrs.get("id") == selector[1:], ".": lambda n: selector[1:] in n.classes()}.get(selector[0], lambda n: n.tag == selector)
+        if found := next((n for n in nodes if tells(n)), None):
+            return found
+    holders = [n for n in nodes if n.tag == "div" and n.attrs.get("id", "").startswith(prefix)]
+    return next((d for h in holders for d in h.walk() if d.tag == "div" and "oc-recipe-container" in d.classes()), holders[0] if holders else None)
+
+
+def read_page(page: str | None, selector: str | None = None) -> dict[str, Any]:
     """What a page states, in plain values: JSON-LD, meta values, sections, texts."""
     tree = Tree(page or "").root
     nodes = list(tree.walk())
@@ -153,8 +163,7 @@ def read_page(page: str | None) -> dict[str, Any]:
     # a property goes before a name of the same key
     meta = lambda *keys: [c for k in keys for c in ([c for p, _, c in metas if p == k] + [c for _, n, c in metas if n == k])]
     one = lambda *keys: next((_clean(c) for c in meta(*keys) if c), None)
-    holders = [n for n in nodes if n.tag == "div" and n.attrs.get("id", "").startswith(CONTAINER)]
-    container = next((d for h in holders for d in h.walk() if d.tag == "div" and "oc-recipe-container" in d.classes()), holders[0] if holders else None)
+    container = find_container(nodes, selector)
     sections = _sections(container)
     crumbs = [_clean(a.text()) for n in nodes if {"breadcrumb", "aioseo-breadcrumbs"} & set(n.classes()) or n.tag == "nav" and n.attrs.get("aria-label") == "breadcrumb" for a in n.walk() if a.tag == "a"]
     image = ld.get("image")
@@ -199,11 +208,15 @@ PAGE = (
 )
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _reader(selector: str | None):
+    return lambda batches: _read(batches, selector)
+
+
+def _read(batches: Iterator[pa.RecordBatch], selector: str | None) -> Iterator[pa.RecordBatch]:
     texts = pa.list_(pa.string())
     kinds = {"found": pa.bool_(), "nutrition": pa.map_(pa.string(), pa.string())} | dict.fromkeys(("ingredients", "instructions", "equipment", "notes", "categories", "crumbs", "keywords"), texts)
     for batch in batches:
-        rows = [read_page(p) for p in batch.column(1).to_pylist()]
+        rows = [read_page(p, selector) for p in batch.column(1).to_pylist()]
         names = [n.strip().split()[0].strip("`") for n in re.split(r",(?![^<]*>)", PAGE)]
         value = lambda n: [list(r[n].items()) if r[n] is not None else None for r in rows] if n == "nutrition" else [r[n] for r in rows]
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(value(n), kinds.get(n, pa.string())) for n in names)], ["url", *names])
@@ -215,14 +228,14 @@ def slug_of_url(url: Column) -> Column:
     return empty_to_null(slugify(F.try_url_decode(F.regexp_extract(path, "([^/]+)$", 1))))
 
 
-def parse_pages(pages: DataFrame, source_name: str, now: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def parse_pages(pages: DataFrame, source_name: str, now: Column | None = None, selector: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Documents and rejects (url, error) of a table of pages: url, html.
 
     What JSON-LD lacks comes from meta values, then from sections below headings, then by
-    inference. now: the time of update where a page tells none, by default the job's time.
+    inference. selector: of the element that holds the recipe. now: the time of update where a page tells none, by default the job's time.
     Repeated URLs are parsed each; a null page is rejected.
     """
-    read = pages.select("url", "html").mapInArrow(_read, f"url string, {PAGE}")
+    read = pages.select("url", "html").mapInArrow(_reader(selector), f"url string, {PAGE}")
     d = read.withColumn("slug", slug_of_url(F.col("url")))
     error = (
         F.when(~F.col("found"), F.concat(F.lit("recipe container not found for "), "url"))

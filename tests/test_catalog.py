@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockpot.operators import indexes as I
 from stockpot.operators import search as S
 from stockpot.operators.edit import changed_fields, edit_stats, merge_ids, rename_id, repair
-from stockpot.operators.replies import ask, choice_content, merge_state, parsed_reply, request_payload, route, work_through
+from stockpot.operators.replies import ask, choice_content, improve, merge_state, parsed_reply, request_payload, route, work_through
 from stockpot.operators.validate import require_valid, split_valid, violations
 from stockpot.plans.catalog import build_catalog, next_sequence
 from stockpot.queries_catalog import QUERIES
@@ -205,6 +205,23 @@ def test_replies(values, spark):
     assert {tuple(r) for r in merge_state(state, spark.createDataFrame([("a", 5), ("c", 6)], "id string, seq int")).collect()} == {("a", 1), ("b", 2), ("c", 6)}
 
 
+def test_improving_asks_twice_and_then_leaves_it_to_people(spark):
+    docs = spark.createDataFrame([(i, json.dumps({"name": i})) for i in ("good", "late", "never", "broken")], "id string, document string")
+
+    def call(payload):
+        told = json.loads(payload)["messages"][1]["content"]
+        name = next(n for n in ("good", "late", "never", "broken") if n in told)
+        if name == "broken":
+            return "{"
+        return json.dumps({"recipe": {"name": name, "ok": name == "good" or name == "late" and "Validation error" in told}, "summary": "s"})
+
+    def check(rows):
+        return rows.select("id", F.when(~F.get_json_object("recipe", "$.ok").cast("boolean"), F.array(F.lit("not ok"))).otherwise(F.array().cast("array<string>")).alias("errors"))
+
+    got = {r.id: (r.route, r.errors) for r in improve(docs, call, "m", "do", check).collect()}
+    assert got == {"good": ("valid", []), "late": ("valid", []), "never": ("manual", ["not ok"]), "broken": ("manual", ["model output was not valid JSON"])}
+
+
 def test_build_catalog(spark, docs, tmp_path):
     release = build_catalog(docs, str(tmp_path), bump=True)
     assert json.loads((tmp_path / "release.json").read_text()) == release and release["repo_sequence"] == 2
