@@ -82,13 +82,19 @@ def _mistyped(piece: Column, cores: list[tuple[str, str]], word: str) -> Column:
     """A piece in which the joining word is marked where the words beside it are those of a name, but for an edit or two."""
     if not cores:
         return piece
-    pattern = F.lit(rf"(?i)([^\s{re.escape(MARKS)}]+)\s+{word}\s+(?=([^\s{re.escape(MARKS)}]+))")
-    met = F.arrays_zip(*(F.regexp_extract_all(piece, pattern, i).alias(n) for i, n in ((0, "all"), (1, "before"), (2, "after"))))
-    edits = lambda typed, name: F.levenshtein(F.lower(typed), F.lit(name)) <= (1 if len(name) <= 4 else 2)
-    of_name = lambda m: reduce(lambda x, y: x | y, (edits(m["before"], a) & edits(m["after"], b) for a, b in cores))
+    letter = rf"[^\s{re.escape(MARKS)}]"
+    # a word is tried from its beginning alone, so that texts of any length are read once
+    pattern = F.lit(rf"(?i)(?<!{letter})({letter}++)\s+{word}\s+(?=({letter}+))")
+    every = lambda i: F.regexp_extract_all(piece, pattern, i)
+    edits = lambda typed, name: F.levenshtein(F.lower(typed), F.lit(name), 1 if len(name) <= 4 else 2) >= 0
+    any_of = lambda parts: reduce(lambda x, y: x | y, parts)
+    of_name = lambda m: any_of(edits(m["before"], a) & edits(m["after"], b) for a, b in cores)
     marked = lambda m: F.concat(F.regexp_replace(m["all"], rf"(?i)(?<=\s){word}(?=\s+$)", f"{WITHIN}$0{WITHIN}"), m["after"])
+    met = F.arrays_zip(every(0).alias("all"), every(1).alias("before"), every(2).alias("after"))
     fixed = F.aggregate(F.filter(met, of_name), piece, lambda acc, m: F.replace(acc, F.concat(m["all"], m["after"]), marked(m)))
-    return F.when(piece.rlike(rf"(?i)\s{word}\s"), fixed).otherwise(piece)
+    # most joining words follow no word that is like the first of a name
+    like = F.exists(every(1), lambda w: any_of(edits(w, a) for a, _ in cores))
+    return F.when(F.when(piece.rlike(rf"(?i)\s{word}\s"), like).otherwise(False), fixed).otherwise(piece)
 
 
 def split_packed(text: Column, names: list[str] | None = None, joining: tuple[str, ...] = JOINING) -> Column:
@@ -123,8 +129,8 @@ def split_packed(text: Column, names: list[str] | None = None, joining: tuple[st
         body = rf"{_OPEN}{q}((?:[^{q}{QUOTE}]++|{q}{q})*+){q}{close}"
         marked = F.regexp_replace(marked, body, f"{QUOTE}{q}$1{QUOTE}")
     values = F.flatten(F.transform(F.split(marked, QUOTE), lambda p, i: F.when(i % 2 == 1, literal(p)).otherwise(plain(p))))
-    values = F.transform(values, lambda v: let(F.regexp_replace(v, r"(?U)^\s+|\s+$", ""), _unescaped))
-    return F.filter(values, lambda v: v != "")
+    trimmed = F.filter(F.transform(values, lambda v: F.regexp_replace(v, r"(?U)^\s+|\s+$", "")), lambda v: v != "")
+    return let(trimmed, lambda vs: F.when(text.rlike(f"[{NONCHARACTERS}]"), F.transform(vs, _unescaped)).otherwise(vs))
 
 
 #: Letters of the first Latin block by the plain letter they carry an accent on.

@@ -143,7 +143,7 @@ def test_split_within_brackets_of_any_depth(spark):
 
 def test_split_of_very_long_texts(spark):
     long = "a" * 300_000
-    cases = {f"({long}, b), c": [f"({long}, b)", "c"], f'"{long}, b", c': [f"{long}, b", "c"], f"{long} and b": [long, "b"], "(x, y) " * 5_000 + ", z": [("(x, y) " * 5_000).strip(), "z"]}
+    cases = {f"({long}, b), c": [f"({long}, b)", "c"], f'"{long}, b", c': [f"{long}, b", "c"], f"{long} and b": [long, "b"], f"{long} x and b": [f"{long} x", "b"], "(x, y) " * 5_000 + ", z": [("(x, y) " * 5_000).strip(), "z"]}
     assert _split(spark, *cases) == list(cases.values())
 
 
