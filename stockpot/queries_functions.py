@@ -42,9 +42,9 @@ def clean_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _each(spark, sf_dir, "name", X.clean_build(typed), "cleaned")
 
 
-@query("SELECT doc_id, " + _PLAIN.format("text") + " AS cleaned, " + _PLAIN.format("substr(text, 1, doc_id % 2)") + " = '' AS blank FROM documents")
+@query("SELECT doc_id, " + _PLAIN.format("text") + " AS cleaned, " + _PLAIN.format("CASE WHEN doc_id % 2 = 0 THEN ' ' || chr(9) ELSE text END") + " = '' AS blank FROM documents")
 def clean_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", X.clean_repair(F.col("text")).alias("cleaned"), X.is_blank(F.substring("text", F.lit(1), (F.col("doc_id") % 2).cast("int"))).alias("blank"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.clean_repair(F.col("text")).alias("cleaned"), X.is_blank(F.when(F.col("doc_id") % 2 == 0, " \t").otherwise(F.col("text"))).alias("blank"))
 
 
 _SINGULAR = (
